@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming input, watermark, window or state: every
+read is batch and mining starts from a complete table.  Nothing is built
+here; the folder exists so that the package layout is the same as for
+engines that do stream.
+"""
