@@ -39,7 +39,7 @@ def basket_lines(transactions: DataFrame, max_items_per_line: int = DEFAULT_MAX_
     fmt = item_format or (lambda c: c.cast("string"))
     return (t.groupBy(BASKET, "_part")
             .agg(F.sort_array(F.collect_set(ITEM)).alias("_items"))
-            .select(BASKET, F.array_join(F.transform("_items", fmt), sep).alias("items")))
+            .select(BASKET, F.array_join(F.transform("_items", lambda c: fmt(c)), sep).alias("items")))
 
 
 def write_basket_file(lines: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists") -> None:
