@@ -12,7 +12,7 @@ from basketry.plans.scan import ScanMiner
 from basketry.plans.son import SONMiner
 from basketry.plans.toivonen import Toivonen
 from basketry.plans.transactions import Baskets
-from basketry.sources.materialize import Store
+from basketry.sources.store import Store
 
 STRATEGIES = ("apriori", "apriori_scan", "pcy", "son", "toivonen")
 

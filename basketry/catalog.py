@@ -37,7 +37,7 @@ from basketry.sources import tables as T
 from basketry.sources.baskets import basket_lines, parse_basket_lines, read_basket_file, write_basket_file
 from basketry.sources.delimited import read_delimited, read_text_split, save_delimited
 from basketry.sources.itemsets import read_itemsets, write_itemsets
-from basketry.sources.materialize import Store, materialize
+from basketry.sources.store import Store, materialize
 
 # Fixed parameters of the registered queries (fixtures of FIXTURES.md).
 SUPP_T = 3

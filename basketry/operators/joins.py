@@ -49,13 +49,14 @@ def broadcast_if_small(df: DataFrame, rows: int | None, limit_rows: int | None =
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: list[str], rows: int | None = None) -> DataFrame:
-    """Rows of ``df`` whose ``on`` columns appear in ``keys_df``."""
-    return df.join(broadcast_if_small(keys_df.select(*on), rows), on=on, how="left_semi")
+    """Rows of ``df`` whose ``on`` columns appear in ``keys_df`` (column
+    order of ``df`` kept)."""
+    return df.join(broadcast_if_small(keys_df.select(*on), rows), on=on, how="left_semi").select(*df.columns)
 
 
 def anti_join(df: DataFrame, keys_df: DataFrame, on: list[str], rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``on`` columns do not appear in ``keys_df``."""
-    return df.join(broadcast_if_small(keys_df.select(*on), rows), on=on, how="left_anti")
+    return df.join(broadcast_if_small(keys_df.select(*on), rows), on=on, how="left_anti").select(*df.columns)
 
 
 def _plain_extend(occ: DataFrame, keys: list[str], last: str, new: str, carry: list[str]) -> DataFrame:

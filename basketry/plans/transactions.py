@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET, ITEM, SALT
 from basketry.operators.skew import DEFAULT_HOT_ITEMS, attach_salt, hot_baskets
-from basketry.sources.materialize import Store
+from basketry.sources.store import Store
 
 
 def _cond(c: Column | str | None) -> Column | None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from basketry.sources.materialize import path_exists
+from basketry.sources.store import path_exists
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -41,8 +41,9 @@ def read_text_split(spark: SparkSession, path: str, sep: str = ",", column: str
 
 
 def save_delimited(df: DataFrame, path: str, header: bool = True, sep: str = ",",
-                   mode: str = "errorifexists", single_file: bool = False) -> None:
-    """S4 (+ D2).  ``single_file`` funnels the output through one task: for
+                   mode: str = "errorifexists", single_file: bool = False, escape: str = '"') -> None:
+    """S4 (+ D2).  Quotes are escaped by doubling (as ``read_delimited``
+    expects).  ``single_file`` funnels the output through one task: for
     small outputs only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    out.write.mode(mode).option("header", header).option("sep", sep).option("escape", escape).csv(path)
