@@ -74,6 +74,9 @@ class LevelMiner:
         k = 1
         cand = occ0
         while True:
+            # L_k is written, not cached: a cache would keep the lineage of
+            # the candidates and be dropped (recomputed later) once they are
+            # unpersisted
             lk = self.store.write(self.frequent(k, cand), f"L{k}")
             n = lk.count()
             occ = None

@@ -46,6 +46,8 @@ class PCYMiner(ScanMiner):
     def after_level(self, level: Level, cand: DataFrame) -> None:
         k = level.k
         ext = extend_occurrences(cand, k + 1)
+        # written (not cached) so that the next level's plan starts here:
+        # a cached table would carry the lineage of every earlier level
         counts = self.store.write(bucket_counts(ext, k + 1, self.hash_functions, self.buckets),
                                   f"buckets{k + 1}")
         self.bucket_tables[k + 1] = counts

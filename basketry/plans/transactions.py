@@ -78,7 +78,7 @@ class Baskets:
                 hot_items: int = DEFAULT_HOT_ITEMS) -> "Baskets":
         store = store or Store(df.sparkSession)
         t = store.write(to_transactions(df, basket, item), "transactions")
-        hot = store.write(hot_baskets(t, hot_items), "hot_baskets")
+        hot = hot_baskets(t, hot_items).persist()
         n_hot = hot.count()
         if n_hot:
             t = store.write(attach_salt(t, hot, n_hot), "transactions_salted")

@@ -75,3 +75,11 @@ def test_fpgrowth_second_oracle(spark, supp):
     by_k = fi.groupBy(F.size("items").alias("k")).count()
     got = {r["k"]: r["count"] for r in by_k.collect()}
     assert got == {1: 10, 2: 45, 3: 120, 4: 70, 5: 3}
+
+
+def test_plans_stay_short_across_levels(supp):
+    """Every level starts from written tables, so plan size does not grow
+    with the level number (a cached table would carry all lineage)."""
+    for miner in (PCYMiner(supp, 2, buckets=101), SONMiner(supp, 2, chunks=3), ScanMiner(supp, 2)):
+        sizes = [len(lvl.itemsets._jdf.queryExecution().optimizedPlan().toString()) for lvl in miner.levels()]
+        assert max(sizes) < 20000, (type(miner).__name__, sizes)
