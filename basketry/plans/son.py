@@ -6,12 +6,12 @@ candidate occurrences -- extensions of the *global* L_{k-1}, pruned by all
 subsets (P9) like the reference's local miner, or by the prefix only --
 are counted per (chunk, itemset) in one hash aggregate.  An itemset is a
 local candidate when its chunk count reaches the chunk's share of the
-threshold, ``count * n >= threshold * chunk_n`` (exact integers; no
+threshold, ``count * n >= threshold * chunk_n`` (exact decimals; no
 floating-point edge).  The distinct local candidates (U1) are the SON
 candidates; their global support is the sum of their chunk counts (A3),
 which is exact because every chunk's count of every extension is kept.
-Nothing is collected except the per-chunk basket counts (one row per
-chunk).
+Nothing is collected: the per-chunk basket counts stay a table joined to
+the counts; only their row count and the total n reach the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET, CHUNK, SUPPORT, item_cols
 from basketry.operators.aggregates import chunk_sizes, count_support
-from basketry.operators.joins import extend_occurrences, semi_join
+from basketry.operators.joins import broadcast_if_small, extend_occurrences, semi_join
 from basketry.plans.levels import Level
 from basketry.plans.scan import ScanMiner
 from basketry.plans.transactions import Baskets
@@ -49,19 +49,23 @@ class SONMiner(ScanMiner):
         label = chunks if isinstance(chunks, int) else "custom"
         super().__init__(baskets, threshold, max_k, tag or f"son-t{threshold}-c{label}-{prune}")
         self.prune = prune
-        sizes = chunk_sizes(baskets.df, self.chunk_fn(F.col(BASKET))).collect()  # one row per chunk
-        self.chunk_n = {r["chunk"]: int(r["n_baskets"]) for r in sizes}
-        self.n = sum(self.chunk_n.values())
+        # Baskets per chunk, kept as a table (one row per chunk); only
+        # its row count and the total n come back to the driver
+        self.sizes = self.store.write(chunk_sizes(baskets.df, self.chunk_fn(F.col(BASKET))), "chunk_sizes")
+        self.n_chunks = self.sizes.count()
+        self.n = int(self.sizes.agg(F.sum("n_baskets")).first()[0] or 0)
         self.son_candidates: dict[int, DataFrame] = {}
         self.chunk_counts: dict[int, DataFrame] = {}
 
-    def local_threshold(self) -> Column:
-        """Per-chunk minimum count, ceil(threshold * chunk_n / n), exact."""
-        t, n = self.threshold, self.n
-        pairs = []
-        for c, m in self.chunk_n.items():
-            pairs += [F.lit(c), F.lit(max(1, -(-t * m // n)))]
-        return F.try_element_at(F.create_map(*pairs), F.col(CHUNK)) if pairs else F.lit(None)
+    def locally_frequent(self, per_chunk: DataFrame) -> DataFrame:
+        """Rows of (chunk, itemset, support) with support * n >= threshold * chunk_n,
+        in exact decimal arithmetic (no float edge, no long overflow)."""
+        dec = "decimal(38,0)"
+        sizes = broadcast_if_small(self.sizes, self.n_chunks)
+        return (per_chunk.join(sizes, on=CHUNK)
+                .where(F.col(SUPPORT).cast(dec) * F.lit(self.n).cast(dec)
+                       >= F.lit(self.threshold).cast(dec) * F.col("n_baskets").cast(dec))
+                .drop("n_baskets"))
 
     def candidates(self, k: int, prev: Level) -> DataFrame:
         if self.prune == "prefix":
@@ -73,7 +77,7 @@ class SONMiner(ScanMiner):
         per_chunk = count_support(cand.withColumn(CHUNK, self.chunk_fn(F.col(BASKET))), k, [CHUNK])
         per_chunk = self.store.write(per_chunk, f"chunk_counts{k}")
         self.chunk_counts[k] = per_chunk
-        local = per_chunk.where(F.col(SUPPORT) >= self.local_threshold())
+        local = self.locally_frequent(per_chunk)
         cands = self.store.write(local.select(*items).distinct(), f"son_candidates{k}")
         self.son_candidates[k] = cands
         total = (semi_join(per_chunk, cands, items, cands.count())
