@@ -38,9 +38,9 @@ def mine_levels(transactions: DataFrame | Baskets, threshold: int, strategy: str
     """
     b = _baskets(transactions, basket, item, hot_items, store)
     if strategy == "apriori":
-        return LevelMiner(b, threshold, max_k).levels()
+        return LevelMiner(b, threshold, max_k, **options).levels()
     if strategy == "apriori_scan":
-        return ScanMiner(b, threshold, max_k).levels()
+        return ScanMiner(b, threshold, max_k, **options).levels()
     if strategy == "pcy":
         return PCYMiner(b, threshold, max_k=max_k, **options).levels()
     if strategy == "son":

@@ -20,7 +20,7 @@ The loop stops after the first empty level, which is yielded once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -33,6 +33,12 @@ from basketry.operators.joins import extend_occurrences, semi_join
 from basketry.plans.transactions import Baskets
 
 
+# X1 hook: (candidate occurrences, k) -> candidate occurrences.  Must only
+# remove rows (e.g. a semi join against an allow-list); it runs before the
+# count, so it can only shrink L_k.
+CandidateFilter = Callable[[DataFrame, int], DataFrame]
+
+
 @dataclass
 class Level:
     k: int
@@ -44,7 +50,8 @@ class Level:
 class LevelMiner:
     name = "apriori"
 
-    def __init__(self, baskets: Baskets, threshold: int, max_k: int | None = None, tag: str | None = None):
+    def __init__(self, baskets: Baskets, threshold: int, max_k: int | None = None, tag: str | None = None,
+                 candidate_filter: CandidateFilter | None = None):
         if int(threshold) < 1:
             raise ValueError("threshold must be >= 1 (only observed itemsets are counted)")
         self.b = baskets
@@ -52,6 +59,7 @@ class LevelMiner:
         self.max_k = max_k
         self.store = baskets.store.child(tag or f"{self.name}-t{self.threshold}")
         self.history: list[Level] = []
+        self.candidate_filter = candidate_filter
 
     # -- steps that strategies override -------------------------------------
     def candidates(self, k: int, prev: Level) -> DataFrame:
@@ -95,7 +103,11 @@ class LevelMiner:
             if not n or self._last(k):
                 return
             k += 1
-            cand = self.candidates(k, level).persist(StorageLevel.MEMORY_AND_DISK)
+            cand = self.candidates(k, level)
+            if self.candidate_filter is not None:
+                # A user's extra pruning; it may only drop candidates
+                cand = self.candidate_filter(cand, k)
+            cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def prepare(transactions: DataFrame, store=None, basket: str = "basket", item: str = "item",

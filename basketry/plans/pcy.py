@@ -32,18 +32,21 @@ from basketry.plans.transactions import Baskets
 class PCYMiner(ScanMiner):
     name = "pcy"
 
-    def __init__(self, baskets: Baskets, threshold: int, buckets: int = 10007,
+    def __init__(self, baskets: Baskets, threshold: int, buckets: int | None = 10007,
                  hash_functions: Sequence[HashFn] = DEFAULT_HASHES, max_k: int | None = None,
                  tag: str | None = None):
-        if int(buckets) < 1:
-            raise ValueError("buckets must be >= 1")
+        if buckets is not None and int(buckets) < 0:
+            raise ValueError("buckets must be >= 0")
         super().__init__(baskets, threshold, max_k, tag or f"pcy-t{threshold}-b{buckets}-h{len(hash_functions)}")
-        self.buckets = int(buckets)
-        self.hash_functions = tuple(hash_functions)
+        # 0 or None buckets: no bitmap at all, i.e. the basket-scan strategy
+        self.buckets = int(buckets or 0)
+        self.hash_functions = tuple(hash_functions) if self.buckets else ()
         self.bucket_tables: dict[int, DataFrame] = {}   # k -> (hash_id, bucket, n) of (k)-sets
         self.bitmaps: dict[int, DataFrame] = {}          # k -> frequent (hash_id, bucket)
 
     def after_level(self, level: Level, cand: DataFrame) -> None:
+        if not self.hash_functions:
+            return
         k = level.k
         ext = extend_occurrences(cand, k + 1)
         # written (not cached) so that the next level's plan starts here:
@@ -58,6 +61,8 @@ class PCYMiner(ScanMiner):
         occurrence rows: the bitmap join is a broadcast of a bounded table,
         so it adds no shuffle."""
         cand = super().candidates(k, prev)
+        if not self.hash_functions:
+            return cand
         return bitmap_filter(cand, k, self.bitmaps[k], self.hash_functions, self.buckets)
 
 

@@ -66,3 +66,15 @@ def test_max_k_stops_early(spark, store):
 def test_prepared_baskets_are_reused(spark, store):
     b = Baskets.prepare(micro_df(spark), store)
     assert as_rows(mine(b, 3)) == as_rows(mine(b, 3, "apriori_scan")) == EXPECTED
+
+
+def test_candidate_filter_hook_only_prunes(spark, store):
+    from pyspark.sql import functions as F
+    no_j = lambda cand, k: cand.where(~F.array_contains(F.array(*[F.col(f"item{i}") for i in range(1, k + 1)]),
+                                                      F.lit("j")))
+    got = as_rows(mine(micro_df(spark), 3, store=store, candidate_filter=no_j))
+    assert got == [EXPECTED[0], [("b", "c", 4), ("b", "m", 4)], []]
+
+
+def test_pcy_without_buckets_is_plain_scan(spark, store):
+    assert as_rows(mine(micro_df(spark), 3, "pcy", store=store, buckets=0)) == EXPECTED
