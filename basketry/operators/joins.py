@@ -60,8 +60,13 @@ def anti_join(df: DataFrame, keys_df: DataFrame, on: list[str], rows: int | None
 
 
 def _plain_extend(occ: DataFrame, keys: list[str], last: str, new: str, carry: list[str]) -> DataFrame:
-    right = occ.select(*keys, F.col(last).alias(new))
-    return occ.select(*keys, *carry, last).join(right, on=keys).where(F.col(last) < F.col(new))
+    # both sides are the *same* frame under two aliases, so the two shuffles
+    # on (basket, prefix) are identical and Spark runs one (ReusedExchange)
+    side = occ.select(*keys, *carry, last)
+    a, b = side.alias("_a"), side.alias("_b")
+    cond = [F.col(f"_a.{c}") == F.col(f"_b.{c}") for c in keys] + [F.col(f"_a.{last}") < F.col(f"_b.{last}")]
+    out = [F.col(f"_a.{c}") for c in keys + carry + [last]] + [F.col(f"_b.{last}").alias(new)]
+    return a.join(b, cond).select(*out)
 
 
 def _salted_extend(occ: DataFrame, keys: list[str], last: str, new: str, carry: list[str]) -> DataFrame:
