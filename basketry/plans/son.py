@@ -57,14 +57,15 @@ class SONMiner(ScanMiner):
         self.son_candidates: dict[int, DataFrame] = {}
         self.chunk_counts: dict[int, DataFrame] = {}
 
-    def locally_frequent(self, per_chunk: DataFrame) -> DataFrame:
-        """Rows of (chunk, itemset, support) with support * n >= threshold * chunk_n,
-        in exact decimal arithmetic (no float edge, no long overflow)."""
+    def flag_local(self, per_chunk: DataFrame) -> DataFrame:
+        """(chunk, itemset, support, local) where ``local`` is
+        support * n >= threshold * chunk_n, in exact decimal arithmetic (no
+        float edge, no long overflow)."""
         dec = "decimal(38,0)"
         sizes = broadcast_if_small(self.sizes, self.n_chunks)
         return (per_chunk.join(sizes, on=CHUNK)
-                .where(F.col(SUPPORT).cast(dec) * F.lit(self.n).cast(dec)
-                       >= F.lit(self.threshold).cast(dec) * F.col("n_baskets").cast(dec))
+                .withColumn("_local", F.col(SUPPORT).cast(dec) * F.lit(self.n).cast(dec)
+                            >= F.lit(self.threshold).cast(dec) * F.col("n_baskets").cast(dec))
                 .drop("n_baskets"))
 
     def candidates(self, k: int, prev: Level) -> DataFrame:
@@ -73,16 +74,18 @@ class SONMiner(ScanMiner):
         return super().candidates(k, prev)
 
     def frequent(self, k: int, cand: DataFrame) -> DataFrame:
+        """Both SON passes in one aggregate over the written per-chunk
+        counts: ``max(local)`` is the union of the chunks' local results
+        (U1) and ``sum(support)`` their exact global count (A3)."""
         items = item_cols(k)
         per_chunk = count_support(cand.withColumn(CHUNK, self.chunk_fn(F.col(BASKET))), k, [CHUNK])
         per_chunk = self.store.write(per_chunk, f"chunk_counts{k}")
         self.chunk_counts[k] = per_chunk
-        local = self.locally_frequent(per_chunk)
-        cands = self.store.write(local.select(*items).distinct(), f"son_candidates{k}")
-        self.son_candidates[k] = cands
-        total = (semi_join(per_chunk, cands, items, cands.count())
-                 .groupBy(*items).agg(F.sum(SUPPORT).cast("bigint").alias(SUPPORT)))
-        return total.where(F.col(SUPPORT) >= self.threshold)
+        flagged = self.flag_local(per_chunk)
+        self.son_candidates[k] = flagged.where("_local").select(*items).distinct()
+        total = flagged.groupBy(*items).agg(F.sum(SUPPORT).cast("bigint").alias(SUPPORT),
+                                            F.max("_local").alias("_candidate"))
+        return total.where(F.col("_candidate") & (F.col(SUPPORT) >= self.threshold)).select(*items, SUPPORT)
 
 
 def son(baskets: Baskets, threshold: int, chunks: int | ChunkFn = 5, prune: str = "full",

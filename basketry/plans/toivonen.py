@@ -22,6 +22,7 @@ sample (seed + 1), up to ``max_iterations`` attempts.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -117,9 +118,12 @@ class Toivonen:
             full[k] = self._kinds(store.write(count_support(cand, k), f"full{k}"), cur, k)
             occ_prev = semi_join(cand, cur.itemsets, item_cols(k), cur.n)
 
-        n_border = sum(b.count() for b in border.values())
-        n_bad = sum(f.where((F.col("kind") == "border") & (F.col(SUPPORT) >= t)).count()
-                    for f in full.values())
+        # one job each: the per-level frames are unioned before counting
+        n_border = reduce(DataFrame.unionByName,
+                          [b.select(F.lit(k).alias("k")) for k, b in border.items()]).count()
+        n_bad = reduce(DataFrame.unionByName,
+                       [f.where((F.col("kind") == "border") & (F.col(SUPPORT) >= t)).select(F.lit(k).alias("k"))
+                        for k, f in full.items()]).count()
         return Attempt(seed, sample_n, st, s_levels, border, full, n_border, n_bad)
 
     @staticmethod
@@ -142,9 +146,9 @@ class Toivonen:
     def _final_levels(self, a: Attempt) -> list[Level]:
         out = []
         for k in sorted(a.full_counts):
+            # full counts are written tables: L_k is a filter over them
             lk = (a.full_counts[k].where((F.col("kind") == "frequent") & (F.col(SUPPORT) >= self.threshold))
                   .select(*item_cols(k), SUPPORT))
-            lk = self.store.child(f"seed{a.seed}").write(lk, f"L{k}")
             n = lk.count()
             out.append(Level(k, lk, n, None))
             if n == 0:
