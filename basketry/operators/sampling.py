@@ -2,10 +2,21 @@
 
 The sample is the ``size`` baskets with the smallest md5 of
 ``"{seed}:{basket}"`` -- a random permutation fixed by the seed, drawn
-without replacement.  Spark plans ``orderBy().limit()`` as a top-k: every
-task keeps its own best ``size`` keys and only those are merged, so the data
-never passes through one task; the merged sample is bounded by ``size``.
-The same rule is one line of SQL (md5 exists in DuckDB too).
+without replacement.  The same rule is one line of SQL (md5 exists in
+DuckDB too).
+
+Two plans give the same rows:
+
+* ``size <= topk_max``: ``orderBy().limit()``, planned as a top-k -- every
+  task keeps its own best ``size`` keys and one task merges them, so that
+  task holds at most (#tasks x size) small keys.
+* larger samples: no single merge.  The first 60 bits of the md5 give a
+  number whose order agrees with the md5 order; an approximate quantile of
+  it (a distributed sketch) gives a cutoff just above the wanted fraction,
+  the keys at or below it are kept (a superset of the sample, checked by an
+  exact count and widened if short), and these are numbered in md5 order
+  with the distributed ``consecutive_index``; the first ``size`` are the
+  sample.
 """
 
 from __future__ import annotations
@@ -14,6 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET
+from basketry.operators.windows import consecutive_index
+
+TOPK_MAX = 1_000_000
 
 
 def sample_key(basket: Column | str, seed: int) -> Column:
@@ -21,9 +35,28 @@ def sample_key(basket: Column | str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), b.cast("string")))
 
 
-def sample_baskets(transactions: DataFrame, size: int, seed: int, basket: str = BASKET) -> DataFrame:
+def _prefix_number(h: Column) -> Column:
+    """First 15 hex digits of the md5 as a non-negative BIGINT (60 bits)."""
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
+
+
+def sample_baskets(transactions: DataFrame, size: int, seed: int, basket: str = BASKET,
+                   topk_max: int = TOPK_MAX) -> DataFrame:
     """Distinct basket keys of the sample (all of them when size >= n)."""
-    keys = transactions.select(basket).distinct()
-    return (keys.withColumn("_h", sample_key(basket, seed))
-            .orderBy("_h", basket).limit(int(size))
-            .select(basket))
+    keys = transactions.select(basket).distinct().withColumn("_h", sample_key(basket, seed))
+    size = int(size)
+    if size <= topk_max:
+        return keys.orderBy("_h", basket).limit(size).select(basket)
+    keys = keys.withColumn("_p", _prefix_number(F.col("_h")))
+    n = keys.count()
+    if size >= n:
+        return keys.select(basket)
+    frac = min(1.0, size / n * 1.02 + 1e-4)
+    while True:
+        cutoff = keys.approxQuantile("_p", [frac], 0.001)[0]
+        cand = keys.where(F.col("_p") <= F.lit(int(cutoff)))
+        if frac >= 1.0 or cand.count() >= size:
+            break
+        frac = min(1.0, frac * 1.25)
+    ranked = consecutive_index(cand.select(basket, "_h"), ["_h", basket], index_col="_rank")
+    return ranked.where(F.col("_rank") <= size).select(basket)

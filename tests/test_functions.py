@@ -75,3 +75,12 @@ def test_sample_threshold_is_exact_ceiling():
     assert sample_threshold(3, 0.1, 10, 10) == 1
     v = Fraction("0.8") * 7500 * 60 / 14743
     assert sample_threshold(60, 0.8, 7500, 14743) == -(-v.numerator // v.denominator)
+
+
+def test_large_sample_path_equals_topk(spark):
+    from basketry.operators.sampling import sample_baskets
+    tx = spark.range(0, 5000).select((F.col("id") % 1777).alias("basket"), (F.col("id") % 13).alias("item"))
+    for size in (1, 250, 1000, 1776, 5000):
+        topk = rows(sample_baskets(tx, size, 7))
+        dist = rows(sample_baskets(tx, size, 7, topk_max=0))
+        assert topk == dist and len(topk) == min(size, 1777)
