@@ -18,16 +18,17 @@ STRATEGIES = ("apriori", "apriori_scan", "pcy", "son", "toivonen")
 
 
 def _baskets(transactions: DataFrame | Baskets, basket: str, item: str, hot_items: int | None,
-             store: Store | None) -> Baskets:
+             store: Store | None, reuse: bool = False, force: bool = False) -> Baskets:
     if isinstance(transactions, Baskets):
         return transactions
     kw = {} if hot_items is None else {"hot_items": hot_items}
-    return Baskets.prepare(transactions, store, basket, item, **kw)
+    return Baskets.prepare(transactions, store, basket, item, reuse=reuse, force=force, **kw)
 
 
 def mine_levels(transactions: DataFrame | Baskets, threshold: int, strategy: str = "apriori", *,
                 max_k: int | None = None, basket: str = "basket", item: str = "item",
-                hot_items: int | None = None, store: Store | None = None, **options) -> Iterator[Level]:
+                hot_items: int | None = None, store: Store | None = None, reuse: bool = False,
+                force: bool = False, **options) -> Iterator[Level]:
     """M6: lazily yield L_1, L_2, ... (``Level`` objects; ``.itemsets`` is the
     DataFrame ``item1..itemk, support``), stopping after the first empty one.
 
@@ -35,8 +36,10 @@ def mine_levels(transactions: DataFrame | Baskets, threshold: int, strategy: str
     son -- ``chunks`` (int or Column -> Column over the basket key),
     ``prune``; toivonen -- ``size``, ``adjust``, ``seed``,
     ``max_iterations`` (raises RuntimeError when every attempt fails).
+    With ``reuse`` finished levels of an earlier run over the same input
+    and parameters are read back (S10); ``force`` recomputes them.
     """
-    b = _baskets(transactions, basket, item, hot_items, store)
+    b = _baskets(transactions, basket, item, hot_items, store, reuse, force)
     if strategy == "apriori":
         return LevelMiner(b, threshold, max_k, **options).levels()
     if strategy == "apriori_scan":

@@ -77,37 +77,65 @@ class LevelMiner:
     def _last(self, k: int) -> bool:
         return self.max_k is not None and k >= self.max_k
 
+    def reused(self, k: int) -> Level | None:
+        """A finished level k of an earlier run over the same baskets and
+        parameters (only when the baskets were prepared with ``reuse``)."""
+        # a user's candidate filter has no stable identity: never reuse then
+        if not self.b.reuse or self.candidate_filter is not None or not self.store.complete(f"L{k}"):
+            return None
+        lk = self.store.read(f"L{k}")
+        n = lk.count()
+        occ = None
+        if n and not self._last(k):
+            if k == 1:
+                occ = semi_join(self.b.df.withColumnRenamed(ITEM, "item1"), lk, ["item1"], n)
+            elif self.store.complete(f"occ{k}"):
+                occ = self.store.read(f"occ{k}")
+            else:
+                return None
+        level = Level(k, lk, n, occ)
+        return level if self.after_reuse(level) else None
+
+    def after_reuse(self, level: Level) -> bool:
+        """Reload what a strategy made besides L_k and its occurrences for a
+        reused level; False if it is missing (the level is then recomputed)."""
+        return True
+
     def levels(self) -> Iterator[Level]:
         occ0 = self.b.df.withColumnRenamed(ITEM, "item1")
-        k = 1
-        cand = occ0
+        k, prev = 1, None
         while True:
-            # L_k is written, not cached: a cache would keep the lineage of
-            # the candidates and be dropped (recomputed later) once they are
-            # unpersisted
-            lk = self.store.write(self.frequent(k, cand), f"L{k}")
-            n = lk.count()
-            occ = None
-            if n and not self._last(k):
+            level = self.reused(k)
+            if level is None:
                 if k == 1:
-                    occ = semi_join(cand, lk, ["item1"], n)      # short plan on a written table
+                    cand = occ0
                 else:
-                    occ = self.store.write(semi_join(cand, lk, item_cols(k), n), f"occ{k}")
-            level = Level(k, lk, n, occ)
-            if n and not self._last(k):
-                self.after_level(level, cand)
-            if k > 1:
-                cand.unpersist()
+                    cand = self.candidates(k, prev)
+                    if self.candidate_filter is not None:
+                        # A user's extra pruning; it may only drop candidates
+                        cand = self.candidate_filter(cand, k)
+                    cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+                # L_k is written, not cached: a cache would keep the lineage
+                # of the candidates and be dropped (recomputed later) once
+                # they are unpersisted
+                lk = self.store.write(self.frequent(k, cand), f"L{k}")
+                n = lk.count()
+                occ = None
+                if n and not self._last(k):
+                    if k == 1:
+                        occ = semi_join(cand, lk, ["item1"], n)      # short plan on a written table
+                    else:
+                        occ = self.store.write(semi_join(cand, lk, item_cols(k), n), f"occ{k}")
+                level = Level(k, lk, n, occ)
+                if n and not self._last(k):
+                    self.after_level(level, cand)
+                if k > 1:
+                    cand.unpersist()
             self.history.append(level)
             yield level
-            if not n or self._last(k):
+            if not level.n or self._last(k):
                 return
-            k += 1
-            cand = self.candidates(k, level)
-            if self.candidate_filter is not None:
-                # A user's extra pruning; it may only drop candidates
-                cand = self.candidate_filter(cand, k)
-            cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+            prev, k = level, k + 1
 
 
 def prepare(transactions: DataFrame, store=None, basket: str = "basket", item: str = "item",

@@ -15,6 +15,7 @@ tables have at most ``buckets`` rows per hash, a fixed broadcast bound.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
@@ -37,7 +38,9 @@ class PCYMiner(ScanMiner):
                  tag: str | None = None):
         if buckets is not None and int(buckets) < 0:
             raise ValueError("buckets must be >= 0")
-        super().__init__(baskets, threshold, max_k, tag or f"pcy-t{threshold}-b{buckets}-h{len(hash_functions)}")
+        names = "-".join(getattr(h, "__name__", "h") for h in hash_functions)
+        super().__init__(baskets, threshold, max_k,
+                         tag or f"pcy-t{threshold}-b{buckets}-{hashlib.sha1(names.encode()).hexdigest()[:8]}")
         # 0 or None buckets: no bitmap at all, i.e. the basket-scan strategy
         self.buckets = int(buckets or 0)
         self.hash_functions = tuple(hash_functions) if self.buckets else ()
@@ -56,6 +59,17 @@ class PCYMiner(ScanMiner):
         self.bucket_tables[k + 1] = counts
         self.bitmaps[k + 1] = counts.where(F.col("n") >= self.threshold).select("hash_id", "bucket")
 
+    def after_reuse(self, level: Level) -> bool:
+        if not self.hash_functions or not level.n or self._last(level.k):
+            return True
+        name = f"buckets{level.k + 1}"
+        if not self.store.complete(name):
+            return False
+        counts = self.store.read(name)
+        self.bucket_tables[level.k + 1] = counts
+        self.bitmaps[level.k + 1] = counts.where(F.col("n") >= self.threshold).select("hash_id", "bucket")
+        return True
+
     def candidates(self, k: int, prev: Level) -> DataFrame:
         """P9 (via the basket-scan candidate table) then P10 on the
         occurrence rows: the bitmap join is a broadcast of a bounded table,

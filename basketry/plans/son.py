@@ -16,6 +16,7 @@ the counts; only their row count and the total n reach the driver.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -46,7 +47,9 @@ class SONMiner(ScanMiner):
         if prune not in ("full", "prefix"):
             raise ValueError("prune is 'full' or 'prefix'")
         self.chunk_fn = hash_chunks(chunks) if isinstance(chunks, int) else chunks
-        label = chunks if isinstance(chunks, int) else "custom"
+        # the chunk expression's text identifies it in the store path
+        label = chunks if isinstance(chunks, int) else hashlib.sha1(
+            str(self.chunk_fn(F.col(BASKET))).encode()).hexdigest()[:8]
         super().__init__(baskets, threshold, max_k, tag or f"son-t{threshold}-c{label}-{prune}")
         self.prune = prune
         # Baskets per chunk, kept as a table (one row per chunk); only
@@ -68,6 +71,16 @@ class SONMiner(ScanMiner):
                             >= F.lit(self.threshold).cast(dec) * F.col("n_baskets").cast(dec))
                 .drop("n_baskets"))
 
+    def after_reuse(self, level: Level) -> bool:
+        name = f"chunk_counts{level.k}"
+        if not self.store.complete(name):
+            return False
+        per_chunk = self.store.read(name)
+        self.chunk_counts[level.k] = per_chunk
+        self.son_candidates[level.k] = (self.flag_local(per_chunk).where("_local")
+                                        .select(*item_cols(level.k)).distinct())
+        return True
+
     def candidates(self, k: int, prev: Level) -> DataFrame:
         if self.prune == "prefix":
             return extend_occurrences(prev.occurrences, k)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET, ITEM, SALT
 from basketry.operators.skew import DEFAULT_HOT_ITEMS, attach_salt, hot_baskets
-from basketry.sources.store import Store
+from basketry.sources.store import Store, cache_key, input_identity
 
 
 def _cond(c: Column | str | None) -> Column | None:
@@ -73,16 +73,34 @@ class Baskets:
     n_hot: int
     _n_baskets: int | None = None
 
+    reuse: bool = False
+
     @classmethod
     def prepare(cls, df: DataFrame, store: Store | None = None, basket: str = BASKET, item: str = ITEM,
-                hot_items: int = DEFAULT_HOT_ITEMS) -> "Baskets":
-        store = store or Store(df.sparkSession)
+                hot_items: int = DEFAULT_HOT_ITEMS, reuse: bool = False, force: bool = False) -> "Baskets":
+        """Write the canonical transactions once.  With ``reuse`` the store
+        is keyed by the input's identity and parameters (S10): a finished
+        earlier run is read instead of recomputed, and miners built on these
+        baskets reuse their finished levels too; ``force`` recomputes."""
+        spark = df.sparkSession
+        if reuse:
+            key = cache_key(input=input_identity(df), basket=basket, item=item, hot_items=hot_items)
+            store = Store(spark, root=store.root if store else None, run=f"tx-{key}")
+            if force:
+                store.clear()
+            if store.complete("hot_baskets") and store.complete("transactions"):
+                n_hot = store.read("hot_baskets").count()
+                name = "transactions_salted" if n_hot else "transactions"
+                if store.complete(name):
+                    return cls(store.read(name), store, hot_items, n_hot, reuse=True)
+        store = store or Store(spark)
         t = store.write(to_transactions(df, basket, item), "transactions")
-        hot = hot_baskets(t, hot_items).persist()
+        hot = hot_baskets(t, hot_items)
+        hot = store.write(hot, "hot_baskets") if reuse else hot.persist()
         n_hot = hot.count()
         if n_hot:
             t = store.write(attach_salt(t, hot, n_hot), "transactions_salted")
-        return cls(t, store, hot_items, n_hot)
+        return cls(t, store, hot_items, n_hot, reuse=reuse)
 
     @property
     def salted(self) -> bool:

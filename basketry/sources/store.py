@@ -59,6 +59,19 @@ def cache_key(**parts) -> str:
     return hashlib.sha1(blob.encode()).hexdigest()[:16]
 
 
+def input_identity(df: DataFrame) -> str:
+    """Identity of a DataFrame's result for reuse keys: its canonical
+    analysed plan (filters, joins, projections; expression ids normalised)
+    plus the list of files it reads.  Data rewritten in place under the same
+    file names is not detected -- use ``force``."""
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    files = sorted(df.inputFiles())
+    h = hashlib.sha1(plan.encode())
+    for f in files:
+        h.update(f.encode())
+    return h.hexdigest()
+
+
 def materialize(df: DataFrame, path: str, force: bool = False) -> DataFrame:
     """If ``path`` holds a finished result, read it; otherwise (or with
     ``force``) compute ``df``, write it and read it back."""
@@ -87,6 +100,15 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def complete(self, name: str) -> bool:
+        return is_complete(self.spark, self.path(name))
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
+    def clear(self) -> None:
+        delete_path(self.spark, self.root)
+
     def child(self, name: str) -> "Store":
         s = Store.__new__(Store)
         s.spark = self.spark
