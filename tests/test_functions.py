@@ -67,6 +67,11 @@ def test_all_pairs_and_apriori_gen(spark):
     want = sorted(c for c in itertools.combinations(items, 3)
                   if all(sub in l2_sets for sub in itertools.combinations(c, 2)))
     assert got == want == [(1, 2, 3), (1, 2, 4)]
+    # hot prefixes (more than 1 itemset per prefix) take the salted join: same answer
+    assert rows(apriori_gen(l2, 3, len(l2_sets), hot_items=1)) == want
+    for m in (1, 2, 3, 5, 8, 11):
+        lm = spark.createDataFrame([(i * 3, 1) for i in range(m)], "item1 bigint, support bigint")
+        assert rows(all_pairs(lm, m)) == sorted(itertools.combinations([i * 3 for i in range(m)], 2))
 
 
 def test_sample_threshold_is_exact_ceiling():
