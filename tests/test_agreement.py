@@ -83,3 +83,26 @@ def test_plans_stay_short_across_levels(supp):
     for miner in (PCYMiner(supp, 2, buckets=101), SONMiner(supp, 2, chunks=3), ScanMiner(supp, 2)):
         sizes = [len(lvl.itemsets._jdf.queryExecution().optimizedPlan().toString()) for lvl in miner.levels()]
         assert max(sizes) < 20000, (type(miner).__name__, sizes)
+
+
+def test_hot_baskets_a_third_of_rows_each(spark, store):
+    """basket = order status: three baskets, each about a third of all rows.
+    The salted self-join (5 x 5 cells per basket) gives the brute-force
+    pair supports."""
+    import itertools
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+    from tests.conftest import SF01
+    li = T.table(spark, SF01, "lineitem").select("l_orderkey", "l_suppkey")
+    od = T.table(spark, SF01, "orders").select("o_orderkey", "o_orderstatus")
+    tx = li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.col("o_orderstatus").alias("basket"), F.col("l_suppkey").alias("item"))
+    b = Baskets.prepare(tx, store.child("hot-status"), hot_items=20)
+    assert b.n_hot == 3
+    got = [rows(lvl.itemsets) for lvl in LevelMiner(b, 2, max_k=2).levels()]
+    baskets = {}
+    for r in tx.distinct().collect():
+        baskets.setdefault(r["basket"], set()).add(r["item"])
+    pairs = Counter(p for items in baskets.values() for p in itertools.combinations(sorted(items), 2))
+    assert got[1] == sorted((a, c, n) for (a, c), n in pairs.items() if n >= 2)
