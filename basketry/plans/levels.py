@@ -150,10 +150,6 @@ def apriori(baskets: Baskets, threshold: int, max_k: int | None = None) -> Itera
     return LevelMiner(baskets, threshold, max_k).levels()
 
 
-def collect_levels(levels: Iterator[Level]) -> list[Level]:
-    return list(levels)
-
-
 def itemsets_as_text(level_df: DataFrame, k: int, sep: str = "|") -> DataFrame:
     """One string per itemset (``a|b|c``) -- a fixed schema across levels."""
     return level_df.select(

@@ -110,9 +110,3 @@ class Baskets:
         if self._n_baskets is None:
             self._n_baskets = self.df.select(BASKET).distinct().count()
         return self._n_baskets
-
-    def restrict(self, keys: DataFrame, rows: int | None, name: str) -> "Baskets":
-        """Baskets whose key is in ``keys`` (a sample), written to the store."""
-        from basketry.operators.joins import semi_join
-        sub = self.store.write(semi_join(self.df, keys, [BASKET], rows), name)
-        return Baskets(sub, self.store.child(name + "-run"), self.hot_items, self.n_hot)
