@@ -1,10 +1,11 @@
 """Window operators.
 
-W1 attaches the support of its itemset to every occurrence, as
-``count(*) OVER (PARTITION BY item1..itemk)``.  It is offered for parity;
-the miners use ``count_support`` + a semi join instead, which pre-aggregates
-map-side and can split a hot itemset, while a window puts a whole itemset's
-occurrences into one sorted task.
+W1 attaches the support of its itemset to every occurrence -- the result
+of ``count(*) OVER (PARTITION BY item1..itemk)``.  A window would put all
+occurrences of one itemset into one sorted task, so a hot itemset would be
+one task; it is computed instead as a hash aggregate (combined map-side)
+joined back on the itemset: the counts are broadcast when their exact size
+allows, otherwise the join is a shuffle join that AQE can split.
 
 W2 numbers rows 1, 2, ... within groups without a single-partition window:
 rows are range-partitioned on the order columns, each partition numbers its
@@ -20,11 +21,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import SUPPORT, item_cols
+from basketry.operators.joins import broadcast_if_small
 
 
-def support_window(occ: DataFrame, k: int) -> DataFrame:
-    """W1."""
-    return occ.withColumn(SUPPORT, F.count(F.lit(1)).over(Window.partitionBy(*item_cols(k))))
+def support_window(occ: DataFrame, k: int, limit_rows: int | None = None) -> DataFrame:
+    """Every row of ``occ`` with the number of rows of its itemset."""
+    items = item_cols(k)
+    counts = occ.groupBy(*items).agg(F.count(F.lit(1)).alias(SUPPORT)).persist()
+    n = counts.count()
+    out = occ.join(broadcast_if_small(counts, n, limit_rows), on=items)
+    return out.select(*occ.columns, SUPPORT)
 
 
 def consecutive_index(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),

@@ -89,3 +89,13 @@ def test_large_sample_path_equals_topk(spark):
         topk = rows(sample_baskets(tx, size, 7))
         dist = rows(sample_baskets(tx, size, 7, topk_max=0))
         assert topk == dist and len(topk) == min(size, 1777)
+
+
+def test_support_window_equals_window_count(spark):
+    from pyspark.sql import Window
+    from basketry.operators.windows import support_window
+    occ = spark.createDataFrame([(b, b % 3, (b * 7) % 5) for b in range(40)], "basket bigint, item1 bigint, item2 bigint")
+    want = occ.withColumn("support", F.count(F.lit(1)).over(Window.partitionBy("item1", "item2")))
+    for limit in (None, 0):            # broadcast and shuffle-join forms
+        got = support_window(occ, 2, limit_rows=limit)
+        assert got.columns == want.columns and rows(got) == rows(want)
