@@ -144,12 +144,15 @@ class Toivonen:
         return result
 
     def _final_levels(self, a: Attempt) -> list[Level]:
+        # full counts are written tables: each L_k is a filter over them, and
+        # all their sizes come back in one grouped count (one row per level)
+        frames = {k: (a.full_counts[k].where((F.col("kind") == "frequent") & (F.col(SUPPORT) >= self.threshold))
+                      .select(*item_cols(k), SUPPORT)) for k in sorted(a.full_counts)}
+        sizes = reduce(DataFrame.unionByName, [f.select(F.lit(k).alias("k")) for k, f in frames.items()])
+        n_by_k = {r["k"]: r["count"] for r in sizes.groupBy("k").count().collect()}
         out = []
-        for k in sorted(a.full_counts):
-            # full counts are written tables: L_k is a filter over them
-            lk = (a.full_counts[k].where((F.col("kind") == "frequent") & (F.col(SUPPORT) >= self.threshold))
-                  .select(*item_cols(k), SUPPORT))
-            n = lk.count()
+        for k, lk in frames.items():
+            n = int(n_by_k.get(k, 0))
             out.append(Level(k, lk, n, None))
             if n == 0:
                 break
