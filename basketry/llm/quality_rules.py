@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from basketry.llm.common import blank_words, let, text_of
 
 SYMBOLS = r"[#*$%&|<>]"
+#: Words of a window; its hash is doubled up from one, two and four words.
 WINDOW = 8
 
 #: Frequent function words of the languages in the corpus.
@@ -57,14 +58,22 @@ def _covered(same: Column) -> Column:
         lambda a: a["n"])
 
 
+def _doubled(hashes: Column, step: int) -> Column:
+    """Hash of twice the words from every place: a place's own and that of the
+    place ``step`` words on (none past the end)."""
+    return F.zip_with(hashes, F.slice(hashes, step + 1, F.greatest(F.size(hashes) - step, F.lit(0))),
+                      lambda a, b: F.xxhash64(a, b))
+
+
 def _repeated_words(words: Column) -> Column:
     """Hashes find the documents that may repeat a window; the words decide."""
     n = F.size(words)
     texts = lambda wins: F.sort_array(F.transform(wins, lambda _, i: F.struct(
         F.array_join(F.slice(words, i + 1, WINDOW), " ").alias("k"), i.alias("i"))))
-    found = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(
-        F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))),
-        lambda wins: F.when(F.size(F.array_distinct(wins)) < F.size(wins), let(texts(wins), _covered)).otherwise(0)))
+    found = let(F.transform(words, lambda w: F.xxhash64(w)), lambda one: let(
+        _doubled(one, 1), lambda two: let(_doubled(two, 2), lambda four: let(
+            F.slice(_doubled(four, 4), 1, n - (WINDOW - 1)),
+            lambda wins: F.when(F.size(F.array_distinct(wins)) < F.size(wins), let(texts(wins), _covered)).otherwise(0)))))
     return F.when(n > WINDOW, found).otherwise(0)
 
 
