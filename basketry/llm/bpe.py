@@ -1,11 +1,11 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Encoding: each distinct pre-token of the corpus is encoded once
-(``pretokens.word_table``); a document's ids are its words' ids, joined back
-by position.  Frequent words come from the broadcast part of the table.  A
-document's rare words go through a shuffle join and come back as one list;
-that list and the text meet by the text's hash (texts that hash alike may
-share a list: ids belong to words, not to texts).  Texts travel packed, so
+Encoding: each distinct pre-token of the corpus is encoded once (see
+``pretokens``); a document's ids are its words' ids, joined back by position.
+Known words come from the broadcast part of the table.  A document's rare
+words are shuffled to their word, encoded and come back as one list; that list
+and the text meet by the text's hash (texts that hash alike may share a list:
+ids belong to words, not to texts).  Texts travel packed, so
 that this one shuffle of the corpus is smaller than its files.
 
 Decoding: ids are joined with the vocabulary's (id, piece) table, whose rows
@@ -29,32 +29,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import text_of
-from basketry.llm.pretokens import FREQUENT, FrequentWords, char_classes, look_up, slices, special_tokens, split, word_table
+from basketry.llm.pretokens import (
+    FREQUENT, KnownWords, Vocabulary, encode_rare, frequent_words, look_up, slices, text_slices)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
            keep_text: bool = False, most: int = FREQUENT) -> DataFrame:
     """``docs`` with the ids of ``text_col``; the text itself only if asked for."""
     spark = docs.sparkSession
-    words = word_table(docs, path, text_col)
-    known = FrequentWords(spark, words, "ids", most)
-    classes = spark.sparkContext.broadcast(char_classes().tobytes())
-    special = special_tokens(path)
-    # a null text stays null when it is kept
+    vocabulary = Vocabulary(spark, path)
+    known = KnownWords(spark, frequent_words(docs, vocabulary, text_col, most))
+    # a null text that is kept becomes the empty one
     names = [c for c in docs.columns if c not in (ids_col, text_col)]
 
     def rare_words(batches):
-        table, names = np.frombuffer(classes.value, np.uint8), known.table().column("word").combine_chunks()
+        table = known.read()
         for b in batches:
-            size = pc.utf8_length(b.column(1)).to_numpy(zero_copy_only=False)
-            for s in slices(size):
-                own = b.slice(s.start, s.stop - s.start)
-                counts, ws = split(own.column(1).to_pylist(), special, table)
-                code, distinct, place = look_up(ws, names)
+            for own in text_slices(b, 1):
+                counts, ws = vocabulary.split(own.column(1))
+                code, distinct, place = look_up(ws, table)
                 doc = np.repeat(np.arange(own.num_rows), counts)
-                rare = place[code] < 0
-                pair = np.unique(doc[rare] * len(distinct) + code[rare])
-                n = max(len(distinct), 1)
+                rare, n = place[code] < 0, max(len(distinct), 1)
+                pair = np.unique(doc[rare] * n + code[rare])
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0).take(pa.array(pair // n)), distinct.take(pa.array(pair % n))], ["key", "word"])
 
@@ -69,20 +65,20 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     def join_ids(batches):
         import zstandard
 
-        z = zstandard.ZstdDecompressor()
-        table, t = np.frombuffer(classes.value, np.uint8), known.table()
-        names, ids = t.column("word").combine_chunks(), t.column("ids").combine_chunks()
+        z, table = zstandard.ZstdDecompressor(), known.read()
         for b in batches:
-            packed = b.column(b.schema.get_field_index("_bpe_text"))
-            texts = [z.decompress(x).decode() for x in packed.to_pylist()]
-            for s in slices(np.array([len(x) for x in texts], np.int64)):
-                own = b.slice(s.start, s.stop - s.start)
-                yield _with_ids(own, texts[s], special, table, names, ids, ids_col, text_col if keep_text else None)
+            at = b.schema.get_field_index("_bpe_text")
+            for k in range(0, b.num_rows, 1000):
+                part = b.slice(k, 1000)
+                texts = pa.array([z.decompress(x) for x in part.column(at).to_pylist()], pa.binary()).cast(pa.string())
+                for own in text_slices(part.set_column(at, "_bpe_text", texts), at):
+                    yield _with_ids(own, vocabulary, table, ids_col, text_col if keep_text else None)
 
     key = F.xxhash64(text_of(text_col)).alias("_bpe_key")
     rare = docs.select(key.alias("key"), text_of(text_col).alias("text")).mapInArrow(rare_words, "key long, word string")
-    rare = (rare.join(words.select("word", "ids"), "word")
-            .groupBy("key").agg(F.collect_set(F.struct("word", "ids")).alias("_bpe_rare")))
+    # an entry is its ids, a blank and the word: half of what a struct of them takes in a shuffle
+    entry = F.concat_ws(" ", F.array_join(F.col("ids").cast("array<string>"), ","), "word")
+    rare = encode_rare(rare, vocabulary).groupBy("key").agg(F.collect_set(entry).alias("_bpe_rare"))
     d = docs.select(*names, key, text_of(text_col).alias("_bpe_text"))
     d = d.mapInArrow(pack, d.drop("_bpe_text").withColumn("_bpe_text", F.lit(b"")).schema)
     d = d.join(rare.withColumnRenamed("key", "_bpe_key").hint("shuffle_hash"), "_bpe_key", "left")
@@ -92,26 +88,38 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     return d.mapInArrow(join_ids, out.withColumn(ids_col, F.array(F.lit(0))).schema)
 
 
-def _with_ids(own, texts, special, table, names, ids, ids_col, text_col):
+def _with_ids(own: pa.RecordBatch, vocabulary: Vocabulary, known: KnownWords, ids_col: str,
+              text_col: str | None) -> pa.RecordBatch:
     """One batch with the ids of its words, gathered by position."""
-    counts, ws = split(texts, special, table)
-    code, distinct, place = look_up(ws, names)
-    rare = own.column(own.schema.get_field_index("_bpe_rare")).flatten()
-    rare_place = pc.fill_null(pc.index_in(distinct, rare.field("word")), -1).to_numpy(zero_copy_only=False)
-    if np.any((place < 0) & (rare_place < 0)):
-        raise RuntimeError("a word is missing from the word table")
-    both = pa.concat_arrays([ids, rare.field("ids").cast(ids.type)])
-    per_word = both.take(pa.array(np.where(place >= 0, place, len(ids) + rare_place)[code]))
+    texts = own.column(own.schema.get_field_index("_bpe_text"))
+    counts, ws = vocabulary.split(texts)
+    code, distinct, place = look_up(ws, known)
+    entries = own.column(own.schema.get_field_index("_bpe_rare")).flatten()
+    entries = pc.split_pattern(entries, " ", max_splits=1).flatten()
+    rare_ids = pc.split_pattern(_every_second(entries, 0), ",").cast(known.ids.type)
+    at = pc.fill_null(pc.index_in(distinct, _every_second(entries, 1)), -1).to_numpy(zero_copy_only=False)
+    if np.any((place < 0) & (at < 0)):
+        raise RuntimeError("a rare word did not come back with its ids")
+    # the ids of the slice's distinct words, then of all its words
+    mine = pa.concat_arrays([known.ids.take(pa.array(place[place >= 0])),
+                             rare_ids.take(pa.array(at[place < 0]))])
+    order = np.empty(len(place), np.int64)
+    order[np.append(np.flatnonzero(place >= 0), np.flatnonzero(place < 0))] = np.arange(len(place))
+    per_word = mine.take(pa.array(order[code]))
     ends = np.append(0, np.cumsum(counts))
     offsets = per_word.offsets.to_numpy()[ends] if len(per_word) else np.zeros(len(counts) + 1, np.int32)
     out = {n: own.column(own.schema.get_field_index(n)) for n in own.schema.names
            if n not in ("_bpe_key", "_bpe_text", "_bpe_rare")}
     if text_col:
-        out[text_col] = pa.array(texts, pa.string())
+        out[text_col] = texts
     out[ids_col] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), per_word.flatten())
     return pa.RecordBatch.from_pydict(out)
 
 
+def _every_second(x: pa.Array, first: int) -> pa.Array:
+    return x.take(pa.array(np.arange(first, len(x), 2)))
+
+
 def pieces(path: str) -> list[bytes]:
     """The bytes of every id of the vocabulary, in order of the ids (missing
     ids: no bytes).  Pieces spell bytes as printable characters: the printable

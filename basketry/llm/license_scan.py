@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import text_of
+from basketry.llm.common import arrow_batches, text_of
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -142,6 +142,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [("label", pa.string()), ("first", pa.int32()), ("last", pa.int32()), ("edits", pa.int32())]))]
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, out, kinds)], names)
 
+    arrow_batches(docs.sparkSession)
     names = [id_col, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(id_col), text_of(text_col).alias("_ls_text"))

@@ -8,16 +8,18 @@ inside Spark tasks, over the code points of a whole Arrow batch at once.  The
 classes \\p{L}, \\p{N} and \\s are asked of the tokenizers library, so that both
 know the same version of Unicode.
 
-``word_table`` has each distinct pre-token of the corpus once, encoded once.
-To join it back, the ``FREQUENT`` most widespread pre-tokens (a fixed number of
-short words: a proven bound) are broadcast; the others go through a shuffle
-join, one row per document and distinct word.  So the widespread words, which
-would be the hot keys of that join, never enter it.
+The table of distinct pre-tokens has two parts.  *Known words* are frequent:
+every task that reads documents reports its ``LOCAL`` most frequent words, and of the
+summed reports at most ``FREQUENT`` short words are taken, encoded once and
+broadcast (a fixed number of rows of bounded size).  All other words are rare;
+pairs of a document and a rare word are shuffled and sorted by word, where
+each distinct word is encoded once, and go back to their documents.  So the
+frequent words, which would be the hot keys of that shuffle, never enter it,
+and which part a word is in changes nothing but its way.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,13 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import keep, text_of
+from basketry.llm.common import arrow_batches, keep, text_of
 
 #: Rows of the broadcast part of the word table, and bytes of its longest word.
 FREQUENT = 1 << 19
 FREQUENT_BYTES = 64
+#: Words that a task reports as frequent; it holds 3 times as many at most.
+LOCAL = 1 << 17
 #: Code points that are split at a time.
-SLICE = 1 << 21
+SLICE = 1 << 18
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
@@ -43,15 +47,15 @@ def char_classes() -> np.ndarray:
     """Class of every code point, as the tokenizers library sees it."""
     from tokenizers import Regex, pre_tokenizers
 
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    text = "".join(map(chr, points))
-    index = np.array(points)
     table = np.zeros(0x110000, np.uint8)
-    for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-        inside = np.ones(len(points), bool)
-        for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
-            inside[a:b] = False  # what is left stands between the matches
-        table[index[inside]] = kind
+    for low in range(0, 0x110000, 0x4000):
+        points = np.array([c for c in range(low, low + 0x4000) if not 0xD800 <= c < 0xE000], np.int64)
+        text = "".join(map(chr, points.tolist()))
+        for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
+            inside = np.ones(len(points), bool)
+            for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
+                inside[a:b] = False  # what is left stands between the matches
+            table[points[inside]] = kind
     return table
 
 
@@ -156,88 +160,158 @@ def special_tokens(path: str) -> tuple[str, ...]:
     return tuple(sorted((t["content"] for t in added), key=len, reverse=True))
 
 
-def load(path: str):
-    """The vocabulary's tokenizer; its file's bytes travel with the task."""
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
-    return t
-
-
 def file_bytes(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
 
 
-def word_table(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """(word, n: how often it stands, ids) of the distinct pre-tokens of all
-    texts, written to the shared folder."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
-    classes = sc.broadcast(char_classes().tobytes())  # 1.1 MB, fixed
-    special = special_tokens(path)
-    vocabulary = sc.broadcast(file_bytes(path))  # the vocabulary file, fixed
+class Vocabulary:
+    """What tasks need of a vocabulary file: its bytes, its special tokens and
+    the classes of characters, broadcast (their size is fixed by the file)."""
 
-    def distinct(batches):
-        table = np.frombuffer(classes.value, np.uint8)
-        for b in batches:
-            texts = b.column(0)
-            size = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
-            for s in slices(size):
-                _, words = split(texts[s].to_pylist(), special, table)
-                vc = pc.value_counts(words)
-                yield pa.RecordBatch.from_arrays([vc.field("values").cast(pa.string()), vc.field("counts")], ["word", "n"])
+    def __init__(self, spark: SparkSession, path: str):
+        arrow_batches(spark)
+        self.special = special_tokens(path)
+        self._classes = spark.sparkContext.broadcast(char_classes().tobytes())
+        self._file = spark.sparkContext.broadcast(file_bytes(path))
 
-    def encode(batches):
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        return split(texts.to_pylist(), self.special, np.frombuffer(self._classes.value, np.uint8))
+
+    def encoder(self):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_str(vocabulary.value.decode())
+        t = Tokenizer.from_str(self._file.value.decode())
         t.no_truncation()
         t.no_padding()
-        for b in batches:
-            ids = [e.ids for e in t.encode_batch_fast(b.column(0).to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32()))],
-                                             ["word", "n", "ids"])
+        return lambda words: pa.array([e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)],
+                                      pa.list_(pa.int32()))
+
 
-    words = (docs.select(text_of(text_col).alias("text")).mapInArrow(distinct, "word string, n long")
-             .groupBy("word").agg(F.sum("n").alias("n")))
-    return keep(words.mapInArrow(encode, "word string, n long, ids array<int>"), "words")
+def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about SLICE characters of text."""
+    size = pc.utf8_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    for s in slices(size):
+        yield batch.slice(s.start, s.stop - s.start)
 
 
-def frequent(words: DataFrame, most: int = FREQUENT) -> DataFrame:
-    """The most frequent words, at most ``most``, none over FREQUENT_BYTES.
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", most: int = FREQUENT,
+                   local: int = LOCAL) -> pa.Table:
+    """(word, ids) of the words to broadcast: at most ``most``, none longer
+    than FREQUENT_BYTES.  The cut is made between quarter powers of two of the
+    counts, so at most 256 numbers come to the driver to find it."""
+    def summed(parts):
+        t = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+        return t.select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+    def largest(t, n):
+        return t.sort_by([("n", "descending")]).slice(0, n) if t.num_rows > n else t
+
+    def report(batches):
+        pa.set_memory_pool(pa.system_memory_pool())  # gives back what it frees
+        schema = pa.schema([("word", pa.large_string()), ("n", pa.int64())])
+        held, new = schema.empty_table(), []
+        for b in batches:
+            for own in text_slices(b, 0):
+                vc = pc.value_counts(vocabulary.split(own.column(0))[1])
+                t = pa.table([vc.field("values"), vc.field("counts")], schema=schema)
+                new.append(t.filter(pc.less_equal(pc.binary_length(t.column("word")), FREQUENT_BYTES)))
+                if sum(t.num_rows for t in new) > local:
+                    held, new = largest(summed([held, *new]), 2 * local), []
+        t = largest(summed([held, *new]), local)
+        yield from t.cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(1 << 16)
 
-    Counts are cut at a quarter power of two, found from at most 256 counts."""
-    short = words.where(F.octet_length("word") <= FREQUENT_BYTES)
+    def encode(batches):
+        encoder = vocabulary.encoder()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), encoder(b.column(0).to_pylist())], ["word", "ids"])
+
+    words = docs.select(text_of(text_col).alias("text")).mapInArrow(report, "word string, n long")
+    words = keep(words.groupBy("word").agg(F.sum("n").alias("n")), "reports")
     level = F.floor(F.log2(F.col("n").cast("double")) * 4).cast("int")
-    left, least = most, math.inf
-    for r in short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # <= 256 rows
+    left, least = most, 1 << 20
+    for r in words.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # <= 256 rows
         if r["count"] > left:
             break
         left, least = left - r["count"], r["level"]
-    return short.where(level >= (least if least < math.inf else 1 << 20))
-
-
-class FrequentWords:
-    """The broadcast part of the word table: words and a value for each."""
-
-    def __init__(self, spark: SparkSession, words: DataFrame, value: str, most: int = FREQUENT):
-        t = frequent(words, most).select("word", value).toArrow()
+    return words.where(level >= least).select("word").mapInArrow(encode, "word string, ids array<int>").toArrow()
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each word's bytes, as 64-bit polynomials."""
+    words = words.cast(pa.large_binary())
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    size = np.diff(ends)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(np.uint64) + np.uint64(1)
+    powers = np.cumprod(np.full(size.max(), 0x9E3779B97F4A7C15, np.uint64))
+    starts = ends[:-1] - ends[0]
+    return np.add.reduceat(data * powers[np.arange(len(data)) - np.repeat(starts, size)], starts)
+
+
+class KnownWords:
+    """The broadcast part of the word table, found by hash and compared whole.
+    Of words with one hash the others are simply not known."""
+
+    def __init__(self, spark: SparkSession, table: pa.Table):
+        table = table.combine_chunks().cast(pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))]))
+        h = word_hashes(table.column("word").combine_chunks()) if table.num_rows else np.zeros(0, np.uint64)
+        order = np.argsort(h, kind="stable")
+        table = table.take(pa.array(order)).append_column("hash", pa.array(h[order], pa.uint64())).combine_chunks()
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, t.schema) as w:
-            w.write_table(t)
-        self.data = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        self._data = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+    def read(self) -> "KnownWords":
+        pa.set_memory_pool(pa.system_memory_pool())  # gives back what it frees
+        t = pa.ipc.open_stream(self._data.value).read_all().combine_chunks()
+        self.words, self.ids, self.hashes = (
+            t.column(c).chunk(0) if t.num_rows else pa.array([], t.schema.field(c).type) for c in ("word", "ids", "hash"))
+        self.hashes = self.hashes.to_numpy()
+        return self
+
+    def __getstate__(self):
+        return {"_data": self._data}
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The place of each word among the known ones, or -1."""
+        if not len(self.hashes):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, word_hashes(words)), len(self.hashes) - 1)
+        same = pc.equal(self.words.take(pa.array(at)), words).to_numpy(zero_copy_only=False)
+        return np.where(same, at, -1)
+
+
+def look_up(words: pa.Array, known: KnownWords) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(code of each word, distinct words, place of each distinct word among
+    the known ones or -1)."""
+    d = words.dictionary_encode()
+    distinct = d.dictionary.cast(pa.string())
+    return d.indices.to_numpy(zero_copy_only=False), distinct, known.places(distinct)
 
-    def table(self) -> pa.Table:
-        return pa.ipc.open_stream(self.data.value).read_all().combine_chunks()
 
+def encode_rare(pairs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``pairs`` (..., word) with the word's ids: shuffled and sorted by word,
+    each distinct word of a batch is encoded once, and the last one's ids are
+    held for the next batch."""
+    names = pairs.columns
 
-def look_up(words: pa.Array, known: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """(code of each word, distinct words, place of each distinct word in
-    ``known`` or -1)."""
-    d = words.dictionary_encode()
-    distinct = d.dictionary.cast(pa.string())
-    place = pc.fill_null(pc.index_in(distinct, known.cast(pa.string())), -1).to_numpy(zero_copy_only=False)
-    return d.indices.to_numpy(zero_copy_only=False), distinct, place
+    def run(batches):
+        encoder, last, held = vocabulary.encoder(), None, None
+        for b in batches:
+            d = b.column(b.schema.get_field_index("word")).dictionary_encode()
+            new = d.dictionary.to_pylist()
+            known = bool(new) and new[0] == last
+            ids = encoder(new[1:] if known else new)
+            ids = pa.concat_arrays([held, ids]) if known else ids
+            if new:
+                last, held = new[-1], ids.slice(len(ids) - 1)
+            yield pa.RecordBatch.from_arrays([*b.columns, ids.take(d.indices)], [*names, "ids"])
+
+    d = pairs.repartition("word").sortWithinPartitions("word")
+    return d.mapInArrow(run, d.withColumn("ids", F.array(F.lit(0))).schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import keep, text_of
+from basketry.llm.common import arrow_batches, keep, text_of
 
 BITS = 18
 SIZES = (2, 3, 4)
@@ -127,6 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(
                 [features(t, seen) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.list_(pa.int32()))], ["id", "y", "f"])
 
+    arrow_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     d = keep(d.select("id", "text", "y").mapInArrow(to_features, f"id {kind}, y int, f array<int>"), "features")
     n = dict(d.groupBy("y").count().collect())
@@ -167,6 +168,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             s = np.array([m.score(features(t, seen)) for t in b.column(1).cast(pa.binary()).to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], ["id", "score"])
 
+    arrow_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double")
     return d.select(F.col("id").alias(id_col), F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import keep, text_of
+from basketry.llm.common import arrow_batches, keep, text_of
 from basketry.llm.components import components
 
 MAX_BITS = 3
@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
                 [simhash(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.int64())], ["id", "fp"])
 
+    arrow_batches(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     return d.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long")
 

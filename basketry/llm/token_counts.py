@@ -2,9 +2,9 @@
 
 Pieces are counted once for each distinct pre-token; a document's tokens are
 the sum over its pre-tokens of frequency times pieces.  Frequencies of the
-broadcast pre-tokens are summed where the document is read; only the rest,
-one row per document and distinct rare word, is shuffled to the word table
-and back as one sum per document.
+known pre-tokens are summed where the document is read; only the rest, one row
+per document and distinct rare word, is shuffled to its word and back as one
+sum per document.
 
 Cases: null and empty texts have no bytes and no tokens; repeated rows are
 counted one by one; a text of any length is read whole; an empty table gives
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import keep, text_of
-from basketry.llm.pretokens import FREQUENT, FrequentWords, char_classes, look_up, slices, special_tokens, split, word_table
+from basketry.llm.pretokens import FREQUENT, KnownWords, Vocabulary, encode_rare, frequent_words, look_up, text_slices
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -28,32 +28,27 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """(id, n_bytes, n_tokens, over_limit) of every row; ``path``: a
     byte-level BPE vocabulary in the tokenizers library's format."""
     spark = docs.sparkSession
-    words = word_table(docs, path, text_col).select("word", "n", F.size("ids").alias("pieces"))
-    known = FrequentWords(spark, words, "pieces", most)
-    classes = spark.sparkContext.broadcast(char_classes().tobytes())
-    special = special_tokens(path)
+    vocabulary = Vocabulary(spark, path)
+    known = KnownWords(spark, frequent_words(docs, vocabulary, text_col, most))
     id_type = docs.schema[id_col].dataType
 
     def frequencies(batches):
-        table = np.frombuffer(classes.value, np.uint8)
-        t = known.table()
-        names, pieces = t.column("word").combine_chunks(), t.column("pieces").to_numpy()
-        pieces = np.append(pieces, 0)  # at -1: not among the frequent
+        table = known.read()
+        pieces = np.append(pc.list_value_length(table.ids).to_numpy(zero_copy_only=False), 0)  # at -1: not known
         for b in batches:
-            size = pc.utf8_length(b.column(1)).to_numpy(zero_copy_only=False)
-            for s in slices(size):
-                own = b.slice(s.start, s.stop - s.start)
-                counts, ws = split(own.column(1).to_pylist(), special, table)
-                code, distinct, place = look_up(ws, names)
+            for own in text_slices(b, 1):
+                counts, ws = vocabulary.split(own.column(1))
+                code, distinct, place = look_up(ws, table)
                 doc = np.repeat(np.arange(own.num_rows), counts)
-                known_sum = np.bincount(doc, pieces[place][code], own.num_rows).astype(np.int64)
+                sums = np.bincount(doc, pieces[place][code], own.num_rows).astype(np.int64)
                 rare = place[code] < 0
-                pair, freq = np.unique(doc[rare] * len(distinct) + code[rare], return_counts=True)
-                per_doc = np.searchsorted(pair, np.arange(own.num_rows + 1) * len(distinct))
+                n = max(len(distinct), 1)
+                pair, freq = np.unique(doc[rare] * n + code[rare], return_counts=True)
+                per_doc = np.searchsorted(pair, np.arange(own.num_rows + 1) * n)
                 entries = pa.StructArray.from_arrays(
-                    [distinct.take(pa.array(pair % max(len(distinct), 1))), pa.array(freq, pa.int64())], ["word", "freq"])
+                    [distinct.take(pa.array(pair % n)), pa.array(freq, pa.int64())], ["word", "freq"])
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(0), pc.binary_length(own.column(1)).cast(pa.int64()), pa.array(known_sum),
+                    [own.column(0), pc.binary_length(own.column(1)).cast(pa.int64()), pa.array(sums),
                      pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), entries)],
                     ["id", "n_bytes", "known", "rare"])
 
@@ -61,8 +56,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     d = d.mapInArrow(frequencies, f"id {id_type.simpleString()}, n_bytes long, known long, "
                                   "rare array<struct<word:string,freq:long>>")
     d = keep(d.withColumn("row", F.monotonically_increasing_id()), "frequencies")
-    sums = (d.select("row", F.inline("rare")).join(words.select("word", "pieces"), "word")
-            .groupBy("row").agg(F.sum(F.col("freq") * F.col("pieces")).alias("rest")))
+    sums = (encode_rare(d.select("row", F.inline("rare")), vocabulary)
+            .groupBy("row").agg(F.sum(F.col("freq") * F.size("ids")).alias("rest")))
     n = F.col("known") + F.coalesce(F.col("rest"), F.lit(0))
     return (d.drop("rare").join(sums, "row", "left")
             .select(F.col("id").alias(id_col), "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit")))
