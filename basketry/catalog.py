@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import BASKET, ITEM, SUPPORT, item_cols
 from basketry.functions.hashing import hash_product, hash_weighted
 from basketry.functions.ids import format_item_id, parse_item_id
-from basketry.operators.aggregates import basket_count, chunk_sizes, count_support, itemset_stats
+from basketry.operators.aggregates import basket_count, chunk_sizes, count_support, infrequent_filter, itemset_stats
 from basketry.operators.candidates import apriori_gen, bitmap_filter
 from basketry.operators.joins import extend_occurrences, semi_join
 from basketry.operators.report import (distinct_itemsets, expand_itemset, label_itemsets, pack_itemset,
@@ -37,17 +37,20 @@ from basketry.sources import tables as T
 from basketry.sources.baskets import basket_lines, parse_basket_lines, read_basket_file, write_basket_file
 from basketry.sources.delimited import read_delimited, read_text_split, save_delimited
 from basketry.sources.itemsets import read_itemsets, write_itemsets
-from basketry.sources.store import Store, materialize
+from basketry.sources.store import Store, materialize, read_parquet, save_parquet
 
 # Fixed parameters of the registered queries (fixtures of FIXTURES.md).
 SUPP_T = 3
 SUPP_ALL_T = 30
 BRAND_T = 60
 PCY_BUCKETS = 1009
+PCY = {"buckets": PCY_BUCKETS, "hash_functions": (hash_product, hash_weighted)}
 SON_CHUNKS = 5
 TOI_SIZE, TOI_ADJUST, TOI_SEED = 10000, 0.5, 42
 TOI_FAIL_SIZE, TOI_FAIL_ADJUST = 7500, 0.8
 TOP_N = 20
+LINE_ITEMS = 2
+LONG_LINE = 1000
 
 
 def son_chunk(basket):
@@ -167,7 +170,8 @@ def q_chunk_sizes(spark, sf):
 
 def q_row_number_chunk(spark, sf):
     keys = baskets(spark, sf, "supp").df.select(BASKET).distinct().withColumn("chunk", son_chunk(F.col(BASKET)))
-    return consecutive_index(keys, [BASKET], ["chunk"]).select("chunk", BASKET, "row_number")
+    keys = keys.withColumn("label", format_item_id(BASKET))  # a column that is no key rides along
+    return consecutive_index(keys, [BASKET], ["chunk"]).select("chunk", BASKET, "label", "row_number")
 
 
 def q_format_item_id(spark, sf):
@@ -175,18 +179,19 @@ def q_format_item_id(spark, sf):
 
 
 def q_basket_lines(spark, sf):
-    return basket_lines(baskets(spark, sf, "supp").df)
+    return basket_lines(baskets(spark, sf, "supp").df, LINE_ITEMS)
 
 
 def q_basket_parse(spark, sf):
     path = _scratch(spark, "basket_file")
-    write_basket_file(basket_lines(baskets(spark, sf, "supp").df, item_format=format_item_id), path)
+    write_basket_file(basket_lines(baskets(spark, sf, "supp").df, LINE_ITEMS, item_format=format_item_id), path,
+                      single_file=True)
     return read_basket_file(spark, path, basket_type="bigint", item_parser=parse_item_id)
 
 
 def q_src_text_split(spark, sf):
     path = _scratch(spark, "basket_text")
-    lines = basket_lines(baskets(spark, sf, "supp").df)
+    lines = basket_lines(baskets(spark, sf, "supp").df, LONG_LINE)
     lines.select(F.concat_ws(",", F.col(BASKET).cast("string"), "items").alias("value")).write.text(path)
     f = read_text_split(spark, path, sep=",")
     return f.select(F.col("fields")[0].cast("bigint").alias(BASKET), F.col("fields")[1].alias("items"))
@@ -200,15 +205,55 @@ def q_src_csv_roundtrip(spark, sf):
 
 def q_src_parquet(spark, sf):
     path = _scratch(spark, "transactions_parquet")
-    return materialize(T.supp_transactions(spark, sf), path)
+    save_parquet(T.supp_transactions(spark, sf), path)
+    return read_parquet(spark, path)
+
+
+def q_src_tsv_gzip(spark, sf):
+    path = _scratch(spark, "transactions_tsv")
+    (T.supp_transactions(spark, sf, labels=True).write.option("header", True).option("sep", "\t")
+     .option("compression", "gzip").option("nullValue", "\\N").csv(path))
+    return read_delimited(spark, path, schema="basket bigint, item bigint, item_name string", header=True, sep="\t",
+                          null_value="\\N")
 
 
 def q_materialize_reuse(spark, sf):
-    path = _scratch(spark, "l1_reuse")
-    lk = level(spark, sf, "supp", "apriori", SUPP_T, 1)
-    materialize(lk, path)
-    # the finished result at ``path`` is found and read; the (empty) new plan is not run
-    return materialize(lk.where(F.lit(False)), path)
+    """The same plan is read, another one at the same path is computed anew."""
+    path, lk = _scratch(spark, "l1_reuse"), level(spark, sf, "supp", "apriori", SUPP_T, 1)
+    frames = [materialize(d, path) for d in (lk, lk)]
+    kept = frames[0].count() if frames[0].inputFiles() == frames[1].inputFiles() else -1
+    other = materialize(lk.where(F.col("item1") % 2 == 0), path)
+    return other.select("item1", SUPPORT, F.lit(kept).cast("bigint").alias("n_read"))
+
+
+def q_infrequent_filter(spark, sf):
+    return infrequent_filter(count_support(baskets(spark, sf, "supp_all").df.withColumnRenamed(ITEM, "item1"), 1), 590)
+
+
+def q_son_null_chunk(spark, sf):
+    """Baskets with an odd key have no chunk of the caller's."""
+    m = SONMiner(baskets(spark, sf, "supp"), SUPP_T, chunks=lambda b: F.when(b % 2 == 0, F.pmod(b, F.lit(4))), max_k=2)
+    return [lvl.itemsets for lvl in m.levels()][1]
+
+
+def q_son_hash_chunks(spark, sf):
+    return [lvl.itemsets for lvl in SONMiner(baskets(spark, sf, "supp"), SUPP_T, chunks=4, max_k=2).levels()][1]
+
+
+def even_items(cand, k):
+    """A candidate filter: itemsets whose last item is even."""
+    return cand.where(F.col(f"item{k}") % 2 == 0)
+
+
+def q_candidate_filter(strategy):
+    def q(spark, sf):
+        m = strategy(baskets(spark, sf, "supp"), SUPP_T, max_k=2, candidate_filter=even_items)
+        return [lvl.itemsets for lvl in m.levels()][1]
+    return q
+
+
+def q_pcy_xxhash(spark, sf):
+    return level(spark, sf, "supp", "pcy", SUPP_T, 2, buckets=10007)
 
 
 def q_support_k1(spark, sf):
@@ -281,11 +326,11 @@ def q_hash(fn):
 
 
 def q_pcy_buckets(spark, sf):
-    return run(spark, sf, "supp", "pcy", SUPP_T, buckets=PCY_BUCKETS).bucket_tables[2]
+    return run(spark, sf, "supp", "pcy", SUPP_T, **PCY).bucket_tables[2]
 
 
 def q_pcy_bitmap_filter(spark, sf):
-    m = run(spark, sf, "supp", "pcy", SUPP_T, buckets=PCY_BUCKETS)
+    m = run(spark, sf, "supp", "pcy", SUPP_T, **PCY)
     pairs = extend_occurrences(m.history[0].occurrences, 2).select(*item_cols(2)).distinct()
     return bitmap_filter(pairs, 2, m.bitmaps[2], m.hash_functions, m.buckets)
 
@@ -314,8 +359,7 @@ def q_son_candidates(k):
 
 def q_son_global_count(spark, sf):
     m = run(spark, sf, "supp", "son", SUPP_T)
-    return (semi_join(m.chunk_counts[2], m.son_candidates[2], item_cols(2))
-            .groupBy(*item_cols(2)).agg(F.sum(SUPPORT).cast("bigint").alias(SUPPORT)))
+    return m.candidate_counts[2]
 
 
 def q_itemset_stats(spark, sf):
@@ -405,6 +449,14 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_csv_roundtrip": q_src_csv_roundtrip,
     "src_text_split": q_src_text_split,
     "src_parquet": q_src_parquet,
+    "src_tsv_gzip": q_src_tsv_gzip,
+    "infrequent_filter": q_infrequent_filter,
+    "son_null_chunk": q_son_null_chunk,
+    "son_hash_chunks": q_son_hash_chunks,
+    "candidate_filter_apriori": q_candidate_filter(LevelMiner),
+    "candidate_filter_pcy": q_candidate_filter(PCYMiner),
+    "candidate_filter_son": q_candidate_filter(SONMiner),
+    "pcy_xxhash_k2": q_pcy_xxhash,
     "basket_lines": q_basket_lines,
     "basket_parse": q_basket_parse,
     "itemset_codec_roundtrip": q_itemset_codec_roundtrip,
@@ -463,8 +515,8 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apriori_supp_all": q_all_levels("supp_all", "apriori", SUPP_ALL_T),
     "apriori_scan_k2": q_level("supp", "apriori_scan", SUPP_T, 2),
     "apriori_scan_k3": q_level("supp", "apriori_scan", SUPP_T, 3),
-    "pcy_k2": q_level("supp", "pcy", SUPP_T, 2, buckets=PCY_BUCKETS),
-    "pcy_k3": q_level("supp", "pcy", SUPP_T, 3, buckets=PCY_BUCKETS),
+    "pcy_k2": q_level("supp", "pcy", SUPP_T, 2, **PCY),
+    "pcy_k3": q_level("supp", "pcy", SUPP_T, 3, **PCY),
     "son_k2": q_level("supp", "son", SUPP_T, 2),
     "son_k3": q_level("supp", "son", SUPP_T, 3),
     "toivonen_k2": q_toivonen_level(2),

@@ -16,30 +16,7 @@ from basketry.functions.combos import subsets_minus_one
 from basketry.functions.hashing import HashFn, hash_inputs
 from basketry.operators.joins import broadcast_if_small, extend_occurrences, semi_join
 from basketry.operators.skew import DEFAULT_HOT_ITEMS
-from basketry.operators.windows import consecutive_index
-
-
-def all_pairs(l1: DataFrame, n: int | None = None) -> DataFrame:
-    """Every pair (item1 < item2) of the items of ``l1`` (``n`` = its exact
-    row count), without a cross join.  Items get consecutive numbers 1..n
-    and sit on a circle; each number pairs with the next floor((n-1)/2)
-    numbers around it (for even n, numbers up to n/2 also take the opposite
-    one), so every unordered pair is emitted exactly once and every item
-    emits about n/2 of them -- the work is balanced, not triangular.  An
-    equi-join on the partner's number fetches the partner."""
-    if n is None:
-        n = l1.count()
-    if n < 2:
-        return l1.select("item1", F.col("item1").alias("item2")).where(F.lit(False))
-    idx = consecutive_index(l1.select("item1"), ["item1"], index_col="_i")
-    extra = F.when(F.lit(n % 2 == 0) & (F.col("_i") <= n // 2), 1).otherwise(0)
-    emit = F.lit((n - 1) // 2) + extra
-    left = (idx.withColumn("_cnt", emit).where(F.col("_cnt") >= 1)
-            .select("_i", F.col("item1").alias("_a"), F.explode(F.sequence(F.lit(1), F.col("_cnt"))).alias("_d"))
-            .select("_a", (F.pmod(F.col("_i") - 1 + F.col("_d"), F.lit(n)) + 1).cast("bigint").alias("_j")))
-    right = idx.select(F.col("_i").alias("_j"), F.col("item1").alias("_b"))
-    return (left.join(right, on="_j")
-            .select(F.least("_a", "_b").alias("item1"), F.greatest("_a", "_b").alias("item2")))
+from basketry.sources.store import Store
 
 
 def _renamed(lprev: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -63,24 +40,25 @@ def monotonicity_prune(cand: DataFrame, lprev: DataFrame, k: int, n_prev: int |
 def apriori_gen(lprev: DataFrame, k: int, n_prev: int | None = None,
                 hot_items: int = DEFAULT_HOT_ITEMS) -> DataFrame:
     """C_k from L_{k-1}: join on the first k-2 items with the last item
-    ordered, then keep only sets whose every (k-1)-subset is in L_{k-1}.
-    For k = 2 every pair of frequent items is a candidate.
+    ordered, then keep only sets whose every (k-1)-subset is in L_{k-1}
+    (k >= 3: for k = 2 that would be every pair of frequent items, a table
+    that grows with the square of the items; the occurrences of L_1 already
+    yield just those pairs that occur).
 
     The prefix join is the salted self-join of ``extend_occurrences`` with
     the prefix as the group: a prefix shared by more than ``hot_items``
     itemsets is split into cells like a hot basket.  No group can be hot
     when L_{k-1} itself has at most ``hot_items`` rows, and then the check
     is skipped."""
-    if k < 2:
-        raise ValueError("k must be >= 2")
-    if k == 2:
-        return all_pairs(lprev, n_prev)
+    if k < 3:
+        raise ValueError("k must be >= 3")
     prev = item_cols(k - 1)
     prefix = prev[:-1]
     t = lprev.select(F.lit(0).alias(BASKET), *prev)
     if n_prev is None or n_prev > hot_items:
         hot = (t.groupBy(*prefix).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_items)
-               .select(*prefix, F.ceil(F.col("_n") / F.lit(hot_items)).cast("int").alias(SALT))).persist()
+               .select(*prefix, F.ceil(F.col("_n") / F.lit(hot_items)).cast("int").alias(SALT)))
+        hot = Store(lprev.sparkSession).write(hot, "hot_prefixes")
         n_hot = hot.count()
         if n_hot:
             t = (t.join(broadcast_if_small(hot, n_hot), on=prefix, how="left")

@@ -19,33 +19,27 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET, SALT, item_cols
 
-# Bytes assumed per itemset row when turning the session's broadcast
-# threshold into a row limit: 8 per column plus row overhead.
-_ROW_OVERHEAD = 24
-
-
-def broadcast_row_limit(spark, n_cols: int) -> int:
-    """Largest number of rows of ``n_cols`` 8-byte columns that fits below
-    ``spark.sql.autoBroadcastJoinThreshold`` (0 when broadcasting is off)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    if limit <= 0:
-        return 0
-    return limit // (8 * max(n_cols, 1) + _ROW_OVERHEAD)
-
-
-def broadcast_if_small(df: DataFrame, rows: int | None, limit_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a size check: ``rows`` is an exact count of
-    ``df`` taken by the caller.  Above the limit the join stays a shuffle
-    join (AQE may still switch it at run time from real sizes)."""
-    if rows is None:
+
+def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a size check: ``rows`` (an exact count)
+    times the width of the columns, and the optimizer's own size of the frame,
+    both against the session's limit as Spark parses it.  Frames with a column
+    of no fixed width get no hint: compressed text can be far larger than its
+    files, and AQE sees the real bytes."""
+    session = df.sparkSession._jsparkSession
+    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
+    fields = _fields(df)
+    if limit <= 0 or any(f.dataType().typeName() in ("string", "binary", "array", "map", "struct") for f in fields):
         return df
-    if limit_rows is None:
-        limit_rows = broadcast_row_limit(df.sparkSession, len(df.columns))
-    return F.broadcast(df) if rows <= limit_rows else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if rows is not None:
+        size = max(size, rows * sum(int(f.dataType().defaultSize()) for f in fields))
+    return F.broadcast(df) if size <= limit else df
+
+
+def _fields(df: DataFrame):
+    schema = df._jdf.schema()
+    return [schema.apply(i) for i in range(schema.length())]
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: list[str], rows: int | None = None) -> DataFrame:

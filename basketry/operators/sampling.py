@@ -5,18 +5,13 @@ The sample is the ``size`` baskets with the smallest md5 of
 without replacement.  The same rule is one line of SQL (md5 exists in
 DuckDB too).
 
-Two plans give the same rows:
-
-* ``size <= topk_max``: ``orderBy().limit()``, planned as a top-k -- every
-  task keeps its own best ``size`` keys and one task merges them, so that
-  task holds at most (#tasks x size) small keys.
-* larger samples: no single merge.  The first 60 bits of the md5 give a
-  number whose order agrees with the md5 order; an approximate quantile of
-  it (a distributed sketch) gives a cutoff just above the wanted fraction,
-  the keys at or below it are kept (a superset of the sample, checked by an
-  exact count and widened if short), and these are numbered in md5 order
-  with the distributed ``consecutive_index``; the first ``size`` are the
-  sample.
+One plan at every size, with no merge in one task.  The keys are written once.
+The first 60 bits of the md5 give a number whose order agrees with the md5
+order; an approximate quantile of it (a distributed sketch) gives a cutoff just
+above the wanted fraction, the keys at or below it are kept (a superset of the
+sample, checked by an exact count and widened if short), and these are numbered
+in md5 order with the distributed ``consecutive_index``; the first ``size`` are
+the sample.
 """
 
 from __future__ import annotations
@@ -26,8 +21,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET
 from basketry.operators.windows import consecutive_index
-
-TOPK_MAX = 1_000_000
+from basketry.sources.store import Store
 
 
 def sample_key(basket: Column | str, seed: int) -> Column:
@@ -40,14 +34,11 @@ def _prefix_number(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
-def sample_baskets(transactions: DataFrame, size: int, seed: int, basket: str = BASKET,
-                   topk_max: int = TOPK_MAX) -> DataFrame:
+def sample_baskets(transactions: DataFrame, size: int, seed: int, basket: str = BASKET) -> DataFrame:
     """Distinct basket keys of the sample (all of them when size >= n)."""
-    keys = transactions.select(basket).distinct().withColumn("_h", sample_key(basket, seed))
-    size = int(size)
-    if size <= topk_max:
-        return keys.orderBy("_h", basket).limit(size).select(basket)
-    keys = keys.withColumn("_p", _prefix_number(F.col("_h")))
+    size, h = int(size), sample_key(basket, seed)
+    keys = transactions.select(basket).distinct().select(basket, h.alias("_h"), _prefix_number(h).alias("_p"))
+    keys = Store(transactions.sparkSession).write(keys, "sample_order")
     n = keys.count()
     if size >= n:
         return keys.select(basket)
@@ -58,5 +49,6 @@ def sample_baskets(transactions: DataFrame, size: int, seed: int, basket: str =
         if frac >= 1.0 or cand.count() >= size:
             break
         frac = min(1.0, frac * 1.25)
+    cand = cand if frac < 1.0 else keys
     ranked = consecutive_index(cand.select(basket, "_h"), ["_h", basket], index_col="_rank")
     return ranked.where(F.col("_rank") <= size).select(basket)

@@ -6,7 +6,7 @@ k-way self-join of the distinct (basket, item) rows.
 
 from __future__ import annotations
 
-from basketry.catalog import (BRAND_T, PCY_BUCKETS, SON_CHUNKS, SUPP_ALL_T, SUPP_T, TOI_ADJUST, TOI_FAIL_ADJUST,
+from basketry.catalog import (BRAND_T, LINE_ITEMS, PCY_BUCKETS, SON_CHUNKS, SUPP_ALL_T, SUPP_T, TOI_ADJUST, TOI_FAIL_ADJUST,
                               TOI_FAIL_SIZE, TOI_SEED, TOI_SIZE, TOP_N)
 
 SUPP_B = ("SELECT DISTINCT l_orderkey AS basket, l_suppkey AS item FROM lineitem "
@@ -96,7 +96,8 @@ def _h2(a: str, b: str) -> str:
 
 
 def pcy_buckets() -> str:
-    return (f"WITH b AS ({SUPP_B}), p AS ({occ(2)}) "
+    return (f"WITH b AS ({SUPP_B}), l1 AS ({lvl(1, SUPP_T)}), p AS (SELECT * FROM ({occ(2)}) "
+            f"WHERE item1 IN (SELECT item1 FROM l1) AND item2 IN (SELECT item1 FROM l1)) "
             f"SELECT 0 AS hash_id, {_h1('item1', 'item2')} AS bucket, count(*) AS n FROM p GROUP BY 1, 2 "
             f"UNION ALL "
             f"SELECT 1 AS hash_id, {_h2('item1', 'item2')} AS bucket, count(*) AS n FROM p GROUP BY 1, 2")
@@ -155,7 +156,9 @@ def _toi_ctes(size: int, adjust: float, max_k: int = 4) -> str:
 
 
 def negative_border(size: int = TOI_SIZE, adjust: float = TOI_ADJUST, max_k: int = 4) -> str:
-    body = " UNION ALL ".join(text(k, f"nb{k}", extra="") for k in range(1, max_k + 1))
+    # of the pairs, those that occur in the full data
+    seen = "(SELECT x.* FROM nb2 x JOIN f2 y ON x.item1 = y.item1 AND x.item2 = y.item2)"
+    body = " UNION ALL ".join(text(k, seen if k == 2 else f"nb{k}", extra="") for k in range(1, max_k + 1))
     return f"{_toi_ctes(size, adjust, max_k)} {body}"
 
 
@@ -194,10 +197,22 @@ def build() -> dict[str, str]:
         "src_csv_roundtrip": extract,
         "src_text_split": lines,
         "src_parquet": s,
-        "basket_lines": lines,
+        "src_tsv_gzip": extract,
+        "basket_lines": (f"WITH b AS ({s}) SELECT basket, part, string_agg(CAST(item AS VARCHAR), '|' ORDER BY item) "
+                         f"AS items FROM (SELECT *, CAST((row_number() OVER (PARTITION BY basket ORDER BY item) - 1) "
+                         f"// {LINE_ITEMS} AS INTEGER) AS part FROM b) GROUP BY basket, part"),
+        "infrequent_filter": (f"WITH b AS ({SUPP_ALL_B}) SELECT item AS item1, count(*) AS support FROM b GROUP BY item "
+                              f"HAVING count(*) < 590"),
+        "son_null_chunk": l2,
+        "son_hash_chunks": l2,
+        **{f"candidate_filter_{x}": (f"WITH b AS ({s}), {l1w}, o2 AS ({o2_freq_items}) SELECT item1, item2, "
+                                     f"count(*) AS support FROM o2 WHERE item2 % 2 = 0 GROUP BY ALL "
+                                     f"HAVING count(*) >= {SUPP_T}") for x in ("apriori", "pcy", "son")},
+        "pcy_xxhash_k2": l2,
         "basket_parse": s,
         "itemset_codec_roundtrip": l2,
-        "materialize_reuse": l1,
+        "materialize_reuse": (f"WITH b AS ({s}), {l1w} SELECT item1, support, (SELECT count(*) FROM l1) AS n_read "
+                              f"FROM l1 WHERE item1 % 2 = 0"),
         "filter_eq": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'",
         "filter_in": "SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag IN ('A', 'R')",
         "extract_transactions": extract,
@@ -242,6 +257,7 @@ def build() -> dict[str, str]:
                         f"AS n_baskets FROM b GROUP BY 1"),
         "support_window": win,
         "row_number_chunk": (f"WITH b AS ({s}) SELECT basket % {SON_CHUNKS} AS chunk, basket, "
+                             f"'nm' || lpad(CAST(basket AS VARCHAR), CAST(greatest(7, length(CAST(basket AS VARCHAR))) AS INTEGER), '0') AS label, "
                              f"CAST(row_number() OVER (PARTITION BY basket % {SON_CHUNKS} ORDER BY basket) "
                              f"AS BIGINT) AS row_number FROM (SELECT DISTINCT basket FROM b)"),
         "topk_itemsets": (f"WITH b AS ({s}), {l2w} SELECT support, item1, item2 FROM l2 "

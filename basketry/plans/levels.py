@@ -20,6 +20,7 @@ The loop stops after the first empty level, which is yielded once.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import ITEM, item_cols
+from basketry.functions.columns import BASKET, ITEM, item_cols
 from basketry.operators.aggregates import count_support, support_filter
 from basketry.operators.joins import extend_occurrences, semi_join
 from basketry.plans.transactions import Baskets
@@ -44,7 +45,12 @@ class Level:
     k: int
     itemsets: DataFrame               # item1..itemk, support
     n: int                            # exact number of itemsets
-    occurrences: DataFrame | None     # basket, [salt], item1..itemk of frequent itemsets
+    occ: DataFrame | None             # occurrences with the planner's own columns (salt)
+
+    @property
+    def occurrences(self) -> DataFrame | None:
+        """basket, item1..itemk of the frequent itemsets."""
+        return None if self.occ is None else self.occ.select(BASKET, *item_cols(self.k))
 
 
 class LevelMiner:
@@ -57,14 +63,18 @@ class LevelMiner:
         self.b = baskets
         self.threshold = int(threshold)
         self.max_k = max_k
-        self.store = baskets.store.child(tag or f"{self.name}-t{self.threshold}")
+        # a run has a folder of its own; only runs that may reuse each other's
+        # levels share one.  A user's filter has no identity, so it never does
+        self.shared = baskets.reuse and candidate_filter is None
+        name = tag or f"{self.name}-t{self.threshold}"
+        self.store = baskets.store.child(name if self.shared else f"{name}-{uuid.uuid4().hex[:8]}")
         self.history: list[Level] = []
         self.candidate_filter = candidate_filter
 
     # -- steps that strategies override -------------------------------------
     def candidates(self, k: int, prev: Level) -> DataFrame:
         """Candidate occurrences of level k (basket, [salt], item1..itemk)."""
-        return extend_occurrences(prev.occurrences, k)
+        return extend_occurrences(prev.occ, k)
 
     def frequent(self, k: int, cand: DataFrame) -> DataFrame:
         """L_k from candidate occurrences."""
@@ -80,8 +90,7 @@ class LevelMiner:
     def reused(self, k: int) -> Level | None:
         """A finished level k of an earlier run over the same baskets and
         parameters (only when the baskets were prepared with ``reuse``)."""
-        # a user's candidate filter has no stable identity: never reuse then
-        if not self.b.reuse or self.candidate_filter is not None or not self.store.complete(f"L{k}"):
+        if not self.shared or not self.store.complete(f"L{k}"):
             return None
         lk = self.store.read(f"L{k}")
         n = lk.count()
@@ -118,7 +127,9 @@ class LevelMiner:
                 # L_k is written, not cached: a cache would keep the lineage
                 # of the candidates and be dropped (recomputed later) once
                 # they are unpersisted
-                lk = self.store.write(self.frequent(k, cand), f"L{k}")
+                lk = self.frequent(k, cand)
+                done = self.shared and self.store.complete(f"L{k}")  # another run may be reading it
+                lk = self.store.read(f"L{k}") if done else self.store.write(lk, f"L{k}")
                 n = lk.count()
                 occ = None
                 if n and not self._last(k):

@@ -28,7 +28,7 @@ class ScanMiner(LevelMiner):
         return ck, ck.count()
 
     def candidates(self, k: int, prev: Level) -> DataFrame:
-        cand = extend_occurrences(prev.occurrences, k)
+        cand = extend_occurrences(prev.occ, k)
         if k == 2:
             return cand
         ck, n = self.candidate_table(k, prev)

@@ -1,15 +1,17 @@
 """SON (M4): chunk-local mining, union of local results, exact global count.
 
 Each basket belongs to one chunk (``pmod(xxhash64(basket), n_chunks)`` by
-default, or a user expression over the basket key).  At each level the
+default, or a user expression over the basket key; baskets whose expression
+is null are a chunk of their own).  At each level the
 candidate occurrences -- extensions of the *global* L_{k-1}, pruned by all
 subsets (P9) like the reference's local miner, or by the prefix only --
 are counted per (chunk, itemset) in one hash aggregate.  An itemset is a
 local candidate when its chunk count reaches the chunk's share of the
 threshold, ``count * n >= threshold * chunk_n`` (exact decimals; no
 floating-point edge).  The distinct local candidates (U1) are the SON
-candidates; their global support is the sum of their chunk counts (A3),
-which is exact because every chunk's count of every extension is kept.
+candidates; their global support is the sum of their chunk counts (A3), exact
+because it is summed before the others are dropped.  Only the candidates are
+written: their number is bounded by the chunks' own results.
 Nothing is collected: the per-chunk basket counts stay a table joined to
 the counts; only their row count and the total n reach the driver.
 """
@@ -23,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import BASKET, CHUNK, SUPPORT, item_cols
-from basketry.operators.aggregates import chunk_sizes, count_support
-from basketry.operators.joins import broadcast_if_small, extend_occurrences, semi_join
-from basketry.plans.levels import Level
+from basketry.operators.aggregates import chunk_sizes, count_support, support_filter
+from basketry.operators.joins import broadcast_if_small, extend_occurrences
+from basketry.plans.levels import CandidateFilter, Level
 from basketry.plans.scan import ScanMiner
 from basketry.plans.transactions import Baskets
 
@@ -43,14 +45,16 @@ class SONMiner(ScanMiner):
     name = "son"
 
     def __init__(self, baskets: Baskets, threshold: int, chunks: int | ChunkFn = 5,
-                 prune: str = "full", max_k: int | None = None, tag: str | None = None):
+                 prune: str = "full", max_k: int | None = None, tag: str | None = None,
+                 candidate_filter: CandidateFilter | None = None):
         if prune not in ("full", "prefix"):
             raise ValueError("prune is 'full' or 'prefix'")
         self.chunk_fn = hash_chunks(chunks) if isinstance(chunks, int) else chunks
         # the chunk expression's text identifies it in the store path
         label = chunks if isinstance(chunks, int) else hashlib.sha1(
             str(self.chunk_fn(F.col(BASKET))).encode()).hexdigest()[:8]
-        super().__init__(baskets, threshold, max_k, tag or f"son-t{threshold}-c{label}-{prune}")
+        super().__init__(baskets, threshold, max_k, tag or f"son-t{threshold}-c{label}-{prune}",
+                         candidate_filter)
         self.prune = prune
         # Baskets per chunk, kept as a table (one row per chunk); only
         # its row count and the total n come back to the driver
@@ -58,47 +62,45 @@ class SONMiner(ScanMiner):
         self.n_chunks = self.sizes.count()
         self.n = int(self.sizes.agg(F.sum("n_baskets")).first()[0] or 0)
         self.son_candidates: dict[int, DataFrame] = {}
-        self.chunk_counts: dict[int, DataFrame] = {}
+        self.candidate_counts: dict[int, DataFrame] = {}   # candidates with their global support
 
     def flag_local(self, per_chunk: DataFrame) -> DataFrame:
         """(chunk, itemset, support, local) where ``local`` is
         support * n >= threshold * chunk_n, in exact decimal arithmetic (no
         float edge, no long overflow)."""
         dec = "decimal(38,0)"
-        sizes = broadcast_if_small(self.sizes, self.n_chunks)
-        return (per_chunk.join(sizes, on=CHUNK)
+        sizes = broadcast_if_small(self.sizes.withColumnRenamed(CHUNK, "_chunk"), self.n_chunks)
+        return (per_chunk.join(sizes, F.col(CHUNK).eqNullSafe(F.col("_chunk"))).drop("_chunk")
                 .withColumn("_local", F.col(SUPPORT).cast(dec) * F.lit(self.n).cast(dec)
                             >= F.lit(self.threshold).cast(dec) * F.col("n_baskets").cast(dec))
                 .drop("n_baskets"))
 
     def after_reuse(self, level: Level) -> bool:
-        name = f"chunk_counts{level.k}"
+        name = f"son_candidates{level.k}"
         if not self.store.complete(name):
             return False
-        per_chunk = self.store.read(name)
-        self.chunk_counts[level.k] = per_chunk
-        self.son_candidates[level.k] = (self.flag_local(per_chunk).where("_local")
-                                        .select(*item_cols(level.k)).distinct())
+        self._keep(level.k, self.store.read(name))
         return True
 
+    def _keep(self, k: int, counted: DataFrame) -> None:
+        self.candidate_counts[k] = counted
+        self.son_candidates[k] = counted.select(*item_cols(k))
+
     def candidates(self, k: int, prev: Level) -> DataFrame:
         if self.prune == "prefix":
-            return extend_occurrences(prev.occurrences, k)
+            return extend_occurrences(prev.occ, k)
         return super().candidates(k, prev)
 
     def frequent(self, k: int, cand: DataFrame) -> DataFrame:
-        """Both SON passes in one aggregate over the written per-chunk
-        counts: ``max(local)`` is the union of the chunks' local results
-        (U1) and ``sum(support)`` their exact global count (A3)."""
+        """Both SON passes in one aggregate over the per-chunk counts:
+        ``max(local)`` is the union of the chunks' local results (U1) and
+        ``sum(support)`` their exact global count (A3)."""
         items = item_cols(k)
         per_chunk = count_support(cand.withColumn(CHUNK, self.chunk_fn(F.col(BASKET))), k, [CHUNK])
-        per_chunk = self.store.write(per_chunk, f"chunk_counts{k}")
-        self.chunk_counts[k] = per_chunk
-        flagged = self.flag_local(per_chunk)
-        self.son_candidates[k] = flagged.where("_local").select(*items).distinct()
-        total = flagged.groupBy(*items).agg(F.sum(SUPPORT).cast("bigint").alias(SUPPORT),
+        total = self.flag_local(per_chunk).groupBy(*items).agg(F.sum(SUPPORT).cast("bigint").alias(SUPPORT),
                                             F.max("_local").alias("_candidate"))
-        return total.where(F.col("_candidate") & (F.col(SUPPORT) >= self.threshold)).select(*items, SUPPORT)
+        self._keep(k, self.store.write(total.where("_candidate").select(*items, SUPPORT), f"son_candidates{k}"))
+        return support_filter(self.candidate_counts[k], self.threshold)
 
 
 def son(baskets: Baskets, threshold: int, chunks: int | ChunkFn = 5, prune: str = "full",

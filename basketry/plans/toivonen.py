@@ -10,17 +10,19 @@ sample (seed + 1), up to ``max_iterations`` attempts.
 * Negative border: level 1 = every item of the full data that is not
   sample-frequent; level k = apriori-gen(S_{k-1}) minus S_k, i.e. sets not
   sample-frequent whose every (k-1)-subset is -- including sets never seen
-  in the sample.
+  in the sample.  At level 2 that is every pair of sample-frequent items: the
+  pairs that occur in the full data are listed, and the others, whose support
+  is 0, only counted: n(n-1)/2 - |S_2| in all.
 * Full count: level k counts the occurrences of apriori-gen(S_{k-1}) in the
-  full data (extensions of occurrences of S_{k-1}, semi-joined to the
-  candidate table), never a cross product.  Sets that never occur have
-  support 0 and cannot be frequent.
+  full data: extensions of occurrences of S_{k-1}, for k >= 3 semi-joined to
+  the candidate table.  Sets that never occur cannot be frequent.
 * Verdict: success iff no border set has support >= threshold.  Then L_k is
   the sample-frequent sets whose full support reaches the threshold.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from fractions import Fraction
@@ -33,7 +35,7 @@ from basketry.operators.aggregates import count_support
 from basketry.operators.candidates import apriori_gen
 from basketry.operators.joins import anti_join, extend_occurrences, semi_join
 from basketry.operators.sampling import sample_baskets
-from basketry.plans.levels import Level, LevelMiner
+from basketry.plans.levels import CandidateFilter, Level, LevelMiner
 from basketry.plans.transactions import Baskets
 
 
@@ -74,7 +76,8 @@ class ToivonenResult:
 
 class Toivonen:
     def __init__(self, baskets: Baskets, threshold: int, size: int, adjust: float = 1.0,
-                 seed: int = 0, max_iterations: int = 1, max_k: int | None = None):
+                 seed: int = 0, max_iterations: int = 1, max_k: int | None = None,
+                 candidate_filter: CandidateFilter | None = None):
         if int(threshold) < 1:
             raise ValueError("threshold must be >= 1")
         self.b = baskets
@@ -84,7 +87,8 @@ class Toivonen:
         self.seed = int(seed)
         self.max_iterations = int(max_iterations)
         self.max_k = max_k
-        self.store = baskets.store.child(f"toivonen-t{threshold}-s{size}-a{adjust}")
+        self.candidate_filter = candidate_filter
+        self.store = baskets.store.child(f"toivonen-t{threshold}-s{size}-a{adjust}-{uuid.uuid4().hex[:8]}")
 
     def attempt(self, seed: int) -> Attempt:
         store = self.store.child(f"seed{seed}")
@@ -94,7 +98,8 @@ class Toivonen:
         sample = Baskets(store.write(semi_join(self.b.df, keys, ["basket"], sample_n), "sample_tx"),
                          store, self.b.hot_items, self.b.n_hot)
         st = sample_threshold(self.threshold, self.adjust, sample_n, n)
-        s_levels = list(LevelMiner(sample, st, self.max_k, tag="sample").levels())
+        s_levels = list(LevelMiner(sample, st, self.max_k, tag="sample",
+                                   candidate_filter=self.candidate_filter).levels())
         t = self.threshold
 
         border: dict[int, DataFrame] = {}
@@ -102,25 +107,32 @@ class Toivonen:
         # level 1: every item of the full data is counted
         occ0 = self.b.df.withColumnRenamed(ITEM, "item1")
         s1 = s_levels[0]
-        c1 = count_support(occ0, 1)
-        full[1] = self._kinds(store.write(c1, "full1"), s1, 1)
+        c1 = store.write(count_support(occ0, 1), "full1")
+        full[1] = self._kinds(c1, s1, 1)
         border[1] = anti_join(c1.select("item1"), s1.itemsets, ["item1"], s1.n)
         occ_prev = semi_join(occ0, s1.itemsets, ["item1"], s1.n)
         for prev, cur in zip(s_levels, s_levels[1:]):
             k = cur.k
             if prev.n == 0:
                 break
-            ck = store.write(apriori_gen(prev.itemsets, k, prev.n), f"gen{k}")
-            nck = ck.count()
-            border[k] = anti_join(ck, cur.itemsets, item_cols(k), cur.n)
-            cand = semi_join(extend_occurrences(occ_prev, k), ck, item_cols(k), nck)
+            cand = extend_occurrences(occ_prev, k)
+            if k > 2:
+                ck = store.write(apriori_gen(prev.itemsets, k, prev.n), f"gen{k}")
+                border[k] = anti_join(ck, cur.itemsets, item_cols(k), cur.n)
+                cand = semi_join(cand, ck, item_cols(k), ck.count())
+            if self.candidate_filter is not None:
+                cand = self.candidate_filter(cand, k)
             cand = store.write(cand, f"full_occ{k}")
             full[k] = self._kinds(store.write(count_support(cand, k), f"full{k}"), cur, k)
+            if k == 2:
+                border[2] = full[2].where(F.col("kind") == "border").select(*item_cols(2))
             occ_prev = semi_join(cand, cur.itemsets, item_cols(k), cur.n)
 
         # one job each: the per-level frames are unioned before counting
         n_border = reduce(DataFrame.unionByName,
-                          [b.select(F.lit(k).alias("k")) for k, b in border.items()]).count()
+                          [b.select(F.lit(k).alias("k")) for k, b in border.items() if k != 2]).count()
+        if 2 in border:
+            n_border += s1.n * (s1.n - 1) // 2 - s_levels[1].n
         n_bad = reduce(DataFrame.unionByName,
                        [f.where((F.col("kind") == "border") & (F.col(SUPPORT) >= t)).select(F.lit(k).alias("k"))
                         for k, f in full.items()]).count()

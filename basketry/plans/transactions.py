@@ -77,14 +77,16 @@ class Baskets:
 
     @classmethod
     def prepare(cls, df: DataFrame, store: Store | None = None, basket: str = BASKET, item: str = ITEM,
-                hot_items: int = DEFAULT_HOT_ITEMS, reuse: bool = False, force: bool = False) -> "Baskets":
+                hot_items: int = DEFAULT_HOT_ITEMS, reuse: bool = False, force: bool = False,
+                input_version: str | None = None) -> "Baskets":
         """Write the canonical transactions once.  With ``reuse`` the store
         is keyed by the input's identity and parameters (S10): a finished
         earlier run is read instead of recomputed, and miners built on these
-        baskets reuse their finished levels too; ``force`` recomputes."""
+        baskets reuse their finished levels too; ``force`` recomputes.  Data
+        that are not files need an ``input_version`` of the caller's."""
         spark = df.sparkSession
         if reuse:
-            key = cache_key(input=input_identity(df), basket=basket, item=item, hot_items=hot_items)
+            key = cache_key(input=input_identity(df, input_version), basket=basket, item=item, hot_items=hot_items)
             store = Store(spark, root=store.root if store else None, run=f"tx-{key}")
             if force:
                 store.clear()
@@ -96,7 +98,7 @@ class Baskets:
         store = store or Store(spark)
         t = store.write(to_transactions(df, basket, item), "transactions")
         hot = hot_baskets(t, hot_items)
-        hot = store.write(hot, "hot_baskets") if reuse else hot.persist()
+        hot = store.write(hot, "hot_baskets")
         n_hot = hot.count()
         if n_hot:
             t = store.write(attach_salt(t, hot, n_hot), "transactions_salted")
@@ -106,6 +108,10 @@ class Baskets:
     def salted(self) -> bool:
         return SALT in self.df.columns
 
+    def close(self) -> None:
+        """Delete every table of these baskets and of the runs over them."""
+        self.store.clear()
+
     def n_baskets(self) -> int:
         if self._n_baskets is None:
             self._n_baskets = self.df.select(BASKET).distinct().count()

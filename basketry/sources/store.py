@@ -13,6 +13,7 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.session import checkpoint_root
 
@@ -59,27 +60,70 @@ def cache_key(**parts) -> str:
     return hashlib.sha1(blob.encode()).hexdigest()[:16]
 
 
-def input_identity(df: DataFrame) -> str:
-    """Identity of a DataFrame's result for reuse keys: its canonical
-    analysed plan (filters, joins, projections; expression ids normalised)
-    plus the list of files it reads.  Data rewritten in place under the same
-    file names is not detected -- use ``force``."""
-    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
-    files = sorted(df.inputFiles())
-    h = hashlib.sha1(plan.encode())
-    for f in files:
-        h.update(f.encode())
+def _uncut_plan(df: DataFrame) -> str:
+    """The canonical analysed plan as text, however many fields it has."""
+    spark, name = df.sparkSession, "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(2**31 - 1))
+    try:
+        return df._jdf.queryExecution().analyzed().canonicalized().toString()
+    finally:
+        spark.conf.set(name, before)
+
+
+def _file_roots(df: DataFrame) -> list[str] | None:
+    """Root paths of the file scans that ``df`` reads; None if it also reads
+    something else (in-memory rows, an RDD, a stream)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots: set[str] = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "Range":
+            continue
+        try:
+            paths = leaf.relation().location().rootPaths()
+        except Exception:  # noqa: BLE001 -- py4j: the leaf is no file scan
+            return None
+        roots |= {paths.apply(j).toString() for j in range(paths.size())}
+    return sorted(roots)
+
+
+def input_identity(df: DataFrame, input_version: str | None = None) -> str:
+    """Identity of a DataFrame's result for reuse keys: its canonical analysed
+    plan, uncut, and the content it reads -- a caller's ``input_version``, or
+    path, size and modification time of every file under the roots that are
+    read, hashed by a Spark job.  Frames that read anything but files have no
+    identity of their own: without a version they are refused."""
+    h = hashlib.sha1(_uncut_plan(df).encode())
+    if input_version is not None:
+        h.update(f"version {input_version}".encode())
+        return h.hexdigest()
+    roots = _file_roots(df)
+    if roots is None:
+        raise ValueError("reuse of data that are not files needs an input_version")
+    if roots:
+        spark = df.sparkSession
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+                 .select(F.xxhash64("path", "length", "modificationTime").alias("f")))
+        seen = files.agg(F.count("f"), F.bit_xor("f"), F.sum(F.pmod("f", F.lit(1 << 31)))).first()
+        h.update(repr(tuple(seen)).encode())
     return h.hexdigest()
 
 
-def materialize(df: DataFrame, path: str, force: bool = False) -> DataFrame:
-    """If ``path`` holds a finished result, read it; otherwise (or with
-    ``force``) compute ``df``, write it and read it back."""
-    spark = df.sparkSession
-    if force:
-        delete_path(spark, path)
-    if not is_complete(spark, path):
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    return spark.read.text(path).first()[0] if path_exists(spark, path) else None
+
+
+def materialize(df: DataFrame, path: str, force: bool = False, input_version: str | None = None) -> DataFrame:
+    """If ``path`` holds the finished result of the same plan over the
+    same input, read it; otherwise (or with ``force``) compute ``df``, write
+    it and read it back.  The key lies beside the data, in ``<path>.key``."""
+    spark, key_path = df.sparkSession, path.rstrip("/") + ".key"
+    key = input_identity(df, input_version)
+    if force or not is_complete(spark, path) or _read_text(spark, key_path) != key:
+        delete_path(spark, key_path)
         df.write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(key,)], "value string").coalesce(1).write.mode("overwrite").text(key_path)
     return spark.read.parquet(path)
 
 

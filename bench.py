@@ -43,7 +43,7 @@ def sf_of(path: str) -> str:
     return m.group(1) if m else "?"
 
 
-def run(spark, sf_dir: str, sf: str, times: dict, levels: dict, mismatches: list,
+def run(spark, sf_dir: str, sf: str, times: dict, levels: dict, mismatches: list, level_times: dict,
         only: tuple[str, ...] | None = None) -> None:
     for fx, (build, thresholds, expected) in FIXTURES.items():
         t = thresholds.get(sf, 2)
@@ -61,8 +61,12 @@ def run(spark, sf_dir: str, sf: str, times: dict, levels: dict, mismatches: list
             if only is not None and name not in only:
                 continue
             t0 = time.time()
-            counts = [lvl.n for lvl in make().levels()]
+            counts, marks = [], [t0]
+            for lvl in make().levels():
+                counts.append(lvl.n)
+                marks.append(time.time())
             times[f"{name}_{fx}"] = time.time() - t0
+            level_times[f"{name}_{fx}"] = [round(b - a, 3) for a, b in zip(marks, marks[1:])]
             levels[f"{name}_{fx}"] = counts
         # Toivonen: a sample of 2/3 of the baskets at half the scaled
         # threshold.  Only on BRAND: with SUPP's threshold 2 the sample
@@ -91,12 +95,13 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     t0 = time.time()
     if os.path.isdir(warm_dir) and warm_dir != sf_dir:
-        run(spark, warm_dir, sf_of(warm_dir), {}, {}, [], only=("apriori", "pcy"))
+        run(spark, warm_dir, sf_of(warm_dir), {}, {}, [], {}, only=("apriori", "pcy"))
     warmup = time.time() - t0
     times: dict[str, float] = {}
     levels: dict[str, list[int]] = {}
     mismatches: list = []
-    run(spark, sf_dir, sf, times, levels, mismatches)
+    level_times: dict[str, list[float]] = {}
+    run(spark, sf_dir, sf, times, levels, mismatches, level_times)
     out = {
         "metric": "mining_total_sec",
         "value": round(sum(times.values()), 3),
@@ -104,6 +109,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(sf) if sf != "?" else sf,
         "levels": levels,
+        "level_sec": level_times,
         "mismatches": mismatches,
         "cpus": cpus,
         "warmup_sec": round(warmup, 3),

@@ -15,7 +15,7 @@ from tests.conftest import SF001, rows
 
 def test_basket_file_roundtrip_with_split_lines(spark, store):
     tx = to_transactions(T.supp_all_transactions(spark, SF001))
-    lines = basket_lines(tx, max_items_per_line=2, item_format=format_item_id)
+    lines = basket_lines(tx, 2, item_format=format_item_id)
     # baskets with more than 2 items are written as several lines
     assert lines.count() > tx.select("basket").distinct().count()
     path = store.path("test-basket-file")
@@ -26,8 +26,17 @@ def test_basket_file_roundtrip_with_split_lines(spark, store):
 
 def test_basket_lines_are_sorted_one_per_basket(spark):
     df = spark.createDataFrame([(1, 30), (1, 4), (1, 4), (2, 7)], "basket bigint, item bigint")
-    got = rows(basket_lines(df))
-    assert got == [(1, "4|30"), (2, "7")]
+    assert rows(basket_lines(df, 10)) == [(1, 0, "4|30"), (2, 0, "7")]
+    df = spark.createDataFrame([(1, i) for i in (9, 3, 5, 1, 7)] + [(2, 2)], "basket bigint, item bigint")
+    assert rows(basket_lines(df, 2)) == [(1, 0, "1|3"), (1, 1, "5|7"), (1, 2, "9"), (2, 0, "2")]
+
+
+def test_malformed_items_fail_unless_dropped(spark):
+    from basketry.sources.baskets import parse_basket_lines
+    lines = spark.createDataFrame([(1, "nm0000001|nmBAD")], "_c0 bigint, _c1 string")
+    with pytest.raises(Exception, match="malformed item: nmBAD"):
+        parse_basket_lines(lines, item_parser=parse_item_id).collect()
+    assert rows(parse_basket_lines(lines, item_parser=parse_item_id, on_malformed="drop")) == [(1, 1)]
 
 
 def test_itemset_file_roundtrip(spark, store):
@@ -50,11 +59,16 @@ def test_delimited_roundtrip_and_missing_path(spark, store):
     assert read_text_split(spark, txt, sep="|").collect()[0]["fields"] == ["a", "b", "c"]
 
 
-def test_materialize_reuses_finished_output(spark, store):
+def test_materialize_reads_the_same_plan_and_recomputes_another(spark, store):
     path = store.path("test-reuse")
     first = materialize(spark.range(5), path)
     assert is_complete(spark, path)
-    again = materialize(spark.range(5).where(F.lit(False)), path)
-    assert again.count() == first.count() == 5
+    files = first.inputFiles()
+    assert materialize(spark.range(5), path).inputFiles() == files
+    assert materialize(spark.range(5).where(F.lit(False)), path).count() == 0
     forced = materialize(spark.range(2), path, force=True)
     assert forced.count() == 2
+    rows_in_memory = spark.createDataFrame([(1,)], "x int")
+    with pytest.raises(ValueError, match="input_version"):
+        materialize(rows_in_memory, path)
+    assert materialize(rows_in_memory, path, input_version="a").count() == 1
