@@ -76,10 +76,12 @@ def position(offset: Column, target: Column, tilt: Column) -> Column:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size",
         key_col: str | None = None, weights: Sequence[float] = (5, 2, 1),
-        tilts: Sequence[float] = (0.5, 0.0, -0.5), budget: float = 1.5, max_repeats: int = 2) -> DataFrame:
+        tilts: Sequence[float] = (0.5, 0.0, -0.5), budget: float = 1.5, max_repeats: int = 2,
+        ordered: bool = True) -> DataFrame:
     """``docs`` (with their sizes) and, per row: ``source_size``, ``target``,
     ``taken`` words, ``copies`` (copy, words, position) and the first copy's
-    ``position``, sorted by that (rows that are not taken last).
+    ``position``, range-sorted by that (rows that are not taken last) unless
+    ``ordered`` is off, for callers that sort the copies (``training_order``).
 
     ``key_col`` names a column that orders the documents of a source, spread
     evenly over hex strings; by default the md5 of the id."""
@@ -111,7 +113,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
         lambda c: c["words"] > 0))
     d = d.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]))
     d = d.withColumn("position", F.get("copies", F.lit(0))["position"])
-    return d.select(*names, *RESULT).orderBy(F.col("position").asc_nulls_last())
+    # rows without a position would be one tie; the key spreads them
+    d = d.orderBy(F.col("position").asc_nulls_last(), "_mx_key") if ordered else d
+    return d.select(*names, *RESULT)
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
