@@ -32,7 +32,7 @@ from basketry.llm.common import arrow_batches, keep, text_of
 
 BITS = 18
 SIZES = (2, 3, 4)
-SAMPLE = 12_000
+SAMPLE = 4_000
 FOLDS = 5
 THRESHOLD = 0.3
 
@@ -64,7 +64,7 @@ def descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, c: float =
     coordinate descent; a row's scaled indicators are brought to length 1."""
     rng = np.random.default_rng(seed)
     values = [ratio[r] for r in rows]
-    values = [v / np.sqrt((v * v).sum() + 1e-12) for v in values]
+    values = [(v / np.sqrt((v * v).sum() + 1e-12)).astype(np.float32) for v in values]
     square = np.array([(v * v).sum() + 1.0 for v in values])
     w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
     for _ in range(rounds):
@@ -119,7 +119,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from the labelled rows of the other folds than 0."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     known = known.dropDuplicates(["id"]).where(fold() != 0)
-    d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(known, "id")
+    d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).where(fold() != 0)
+    # the labelled texts are kept, not their features, which are larger
+    d = keep(d.join(known, "id").select("id", "text", "y"), "labelled")
 
     def to_features(batches):
         seen = np.zeros(1 << BITS, bool)
@@ -129,14 +131,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     arrow_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    d = keep(d.select("id", "text", "y").mapInArrow(to_features, f"id {kind}, y int, f array<int>"), "features")
+    as_features = lambda x: x.select("id", "text", "y").mapInArrow(to_features, f"id {kind}, y int, f array<int>")
     n = dict(d.groupBy("y").count().collect())
     if len(n) < 2:
         share = 0.5 if not n else float(next(iter(n)))
         zero = np.zeros(1 << BITS)
         return Model(zero, zero, 0.0, 1.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     # documents of each class that have a feature, over all training rows
-    counts = d.select("y", F.explode("f").alias("f")).groupBy("f").agg(
+    counts = as_features(d).select("y", F.explode("f").alias("f")).groupBy("f").agg(
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).toArrow()  # <= 2 ** BITS rows
     pos, neg = np.ones(1 << BITS), np.ones(1 << BITS)
     at = counts.column("f").to_numpy()
@@ -144,7 +146,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     neg[at] += counts.column("neg").to_numpy()
     ratio = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
     # a bounded sample, in the order of a hash: the last fifth fits the curve
-    taken = d.orderBy(F.xxhash64("id"), "id").limit(sample + sample // 4).select("y", "f").toArrow().combine_chunks()
+    most = sample + sample // 4
+    # a little more than the sample by the hash itself, so that no task gets many rows to sort
+    share = min(1.0, 1.2 * most / sum(n.values()) + 1e-4)
+    near = d.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    taken = (as_features(near).orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id").limit(most)
+             .select("y", "f").toArrow().combine_chunks())
     y = np.where(taken.column("y").to_numpy() > 0, 1.0, -1.0)
     lists = taken.column("f").combine_chunks() if isinstance(taken.column("f"), pa.ChunkedArray) else taken.column("f")
     flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
