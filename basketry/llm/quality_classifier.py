@@ -120,17 +120,29 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     known = known.dropDuplicates(["id"]).where(fold() != 0)
     d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).where(fold() != 0)
-    # the labelled texts are kept, not their features, which are larger
-    d = keep(d.join(known, "id").select("id", "text", "y"), "labelled")
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def pack(batches):
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=6)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
+                [z.compress(t) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())], ["id", "text"])
 
     def to_features(batches):
-        seen = np.zeros(1 << BITS, bool)
+        import zstandard
+
+        z, seen = zstandard.ZstdDecompressor(), np.zeros(1 << BITS, bool)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(
-                [features(t, seen) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.list_(pa.int32()))], ["id", "y", "f"])
+                [features(z.decompress(t), seen) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], ["id", "y", "f"])
 
     arrow_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
+    # the labels grow with the documents, so texts meet them in a shuffle at every size, packed;
+    # the labelled texts are kept, not their features, which are larger
+    d = d.mapInArrow(pack, f"id {kind}, text binary").join(known.hint("merge"), "id")
+    d = keep(d.select("id", "text", "y"), "labelled")
     as_features = lambda x: x.select("id", "text", "y").mapInArrow(to_features, f"id {kind}, y int, f array<int>")
     n = dict(d.groupBy("y").count().collect())
     if len(n) < 2:
