@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import text_of
 from basketry.llm.pretokens import (
-    FREQUENT, KnownWords, Vocabulary, encode_rare, frequent_words, look_up, slices, text_slices)
+    FREQUENT, FREQUENT_BYTES, LONG_SPLIT, KnownWords, Vocabulary, encode_rare, frequent_words, look_up, slices, text_slices)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
@@ -51,8 +51,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
                 doc = np.repeat(np.arange(own.num_rows), counts)
                 rare, n = place[code] < 0, max(len(distinct), 1)
                 pair = np.unique(doc[rare] * n + code[rare])
+                words, at = distinct.take(pa.array(pair % n)), pa.array(pair // n)
+                long = pc.greater(pc.binary_length(words), FREQUENT_BYTES)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(0).take(pa.array(pair // n)), distinct.take(pa.array(pair % n))], ["key", "word"])
+                    [own.column(0).take(at), words, pc.if_else(long, own.column(2).take(at), pa.scalar(0, pa.int32()))],
+                    ["key", "word", "cell"])
 
     def pack(batches):
         import zstandard
@@ -75,10 +78,14 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
                     yield _with_ids(own, vocabulary, table, ids_col, text_col if keep_text else None)
 
     key = F.xxhash64(text_of(text_col)).alias("_bpe_key")
-    rare = docs.select(key.alias("key"), text_of(text_col).alias("text")).mapInArrow(rare_words, "key long, word string")
+    # copies of a text have one key; their other columns tell their long words apart
+    other = [F.col(c) for c in names if not any(x in docs.schema[c].dataType.simpleString() for x in ("map<", "variant"))]
+    cell = F.pmod(F.xxhash64(*other), F.lit(LONG_SPLIT)).cast("int") if other else F.lit(0)
+    rare = (docs.select(key.alias("key"), text_of(text_col).alias("text"), cell.alias("cell"))
+            .mapInArrow(rare_words, "key long, word string, cell int"))
     # an entry is its ids, a blank and the word: half of what a struct of them takes in a shuffle
     entry = F.concat_ws(" ", F.array_join(F.col("ids").cast("array<string>"), ","), "word")
-    rare = encode_rare(rare, vocabulary).groupBy("key").agg(F.collect_set(entry).alias("_bpe_rare"))
+    rare = encode_rare(rare, vocabulary, "cell").groupBy("key").agg(F.collect_set(entry).alias("_bpe_rare"))
     d = docs.select(*names, key, text_of(text_col).alias("_bpe_text"))
     d = d.mapInArrow(pack, d.drop("_bpe_text").withColumn("_bpe_text", F.lit(b"")).schema)
     d = d.join(rare.withColumnRenamed("key", "_bpe_key").hint("shuffle_hash"), "_bpe_key", "left")

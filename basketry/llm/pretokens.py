@@ -36,6 +36,8 @@ FREQUENT = 1 << 19
 FREQUENT_BYTES = 64
 #: Words that a task reports as frequent; it holds 3 times as many at most.
 LOCAL = 1 << 17
+#: Tasks that share the rows of a word too long to be known.
+LONG_SPLIT = 64
 #: Code points that are split at a time.
 SLICE = 1 << 18
 
@@ -295,10 +297,12 @@ def look_up(words: pa.Array, known: KnownWords) -> tuple[np.ndarray, pa.Array, n
     return d.indices.to_numpy(zero_copy_only=False), distinct, known.places(distinct)
 
 
-def encode_rare(pairs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``pairs`` (..., word) with the word's ids: shuffled and sorted by word,
+def encode_rare(pairs: DataFrame, vocabulary: Vocabulary, split_by: str) -> DataFrame:
+    """``pairs`` (word, ...) with the word's ids: shuffled and sorted by word,
     each distinct word of a batch is encoded once, and the last one's ids are
-    held for the next batch."""
+    held for the next batch.  A word longer than FREQUENT_BYTES is rare however
+    often it stands, so its rows are split by the column ``split_by`` into at
+    most LONG_SPLIT parts, each of which encodes it once."""
     names = pairs.columns
 
     def run(batches):
@@ -313,5 +317,6 @@ def encode_rare(pairs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 last, held = new[-1], ids.slice(len(ids) - 1)
             yield pa.RecordBatch.from_arrays([*b.columns, ids.take(d.indices)], [*names, "ids"])
 
-    d = pairs.repartition("word").sortWithinPartitions("word")
+    cell = F.when(F.octet_length("word") > FREQUENT_BYTES, F.pmod(F.xxhash64(split_by), F.lit(LONG_SPLIT))).otherwise(0)
+    d = pairs.repartition(F.col("word"), cell).sortWithinPartitions("word")
     return d.mapInArrow(run, d.withColumn("ids", F.array(F.lit(0))).schema)

@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import pytest
 from helpers import KIND, documents, odd
+from pyspark.sql import functions as F
 
 from basketry.llm import bpe, pretokens, token_counts
 from basketry.llm.queries import op1_bpe, vocabulary
@@ -51,6 +52,27 @@ def test_counts_are_the_librarys(spark, library, most):
     assert got == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("copies", [True, False])
+def test_a_long_word_in_every_text(spark, library, copies):
+    word = "https" + "x" * 200
+    rows = [(i, f"{word} once more" + ("" if copies else f" {i}")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(docs, vocabulary()).collect()}
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, vocabulary()).collect()}
+    for i, t in rows:
+        ids = expected(library, t)[0]
+        assert got[i] == ids and counts[i] == len(ids)
+    spread = pretokens.encode_rare(spark.createDataFrame([(i, word, "short") for i in range(400)], "d long, word string, s string"),
+                                   pretokens.Vocabulary(spark, vocabulary()), "d")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # would put so few rows into one task
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        assert len({r["p"] for r in spread.select(F.spark_partition_id().alias("p")).collect()}) > 1
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_query_digests(spark, library):
     docs = {r["doc_id"]: r["text"] for r in documents(spark).collect()}
     got = op1_bpe(spark, "/root/testdata/sf0.001").collect()
