@@ -71,8 +71,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
         z, table = zstandard.ZstdDecompressor(), known.read()
         for b in batches:
             at = b.schema.get_field_index("_bpe_text")
-            for k in range(0, b.num_rows, 1000):
-                part = b.slice(k, 1000)
+            for k in range(0, b.num_rows, 100):  # unpacked texts and their ids are held
+                part = b.slice(k, 100)
                 texts = pa.array([z.decompress(x) for x in part.column(at).to_pylist()], pa.binary()).cast(pa.string())
                 for own in text_slices(part.set_column(at, "_bpe_text", texts), at):
                     yield _with_ids(own, vocabulary, table, ids_col, text_col if keep_text else None)
