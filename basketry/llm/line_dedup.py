@@ -19,8 +19,8 @@ fingerprint at both places.
 3. Marked lines are deleted, with the wordless lines inside marked runs.
 
 Comparing runs with the first equal one, not with each other, keeps the work
-proportional to the lines however often a line repeats.  Words are counted by
-the blanks between them.
+proportional to the lines however often a line repeats.  Words are what stands
+between blanks of any of the six kinds, however many.
 
 Cases: null texts stay null, empty ones empty; rows equal in id and text count
 as one document and are treated alike; null ids come last; texts are read
@@ -38,6 +38,7 @@ from basketry.llm.common import keep, let
 MIN_WORDS = 50
 RESULT = ("n_lines", "n_deleted")
 WORDY = r"[^\x20\x09-\x0D]"
+EDGES = " \t\n\x0b\x0c\r"
 
 
 def _grown(words: Column, min_words: int) -> Column:
@@ -55,12 +56,11 @@ def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     d = d.where(F.col("text").rlike(WORDY))
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(
-        F.trim(F.regexp_replace(x, r"^[\x09-\x0D]+|[\x09-\x0D]+$", "")).alias("x"), i.alias("at"))),
-        lambda x: x["x"].rlike(WORDY))
+        F.trim(x, F.lit(EDGES)).alias("x"), i.alias("at"))), lambda x: x["x"] != "")
     parts = let(lines, lambda x: F.struct(
         x["at"].alias("at"), F.transform(x["x"], lambda y: F.md5(y)).alias("md5"),
         F.transform(x["x"], lambda y: F.xxhash64(y)).alias("hash"),
-        F.transform(x["x"], lambda y: F.length(y) - F.length(F.replace(y, F.lit(" "), F.lit(""))) + 1).alias("words")))
+        F.transform(x["x"], lambda y: F.regexp_count(y, F.lit(WORDY + "+"))).alias("words")))
     d = d.select("id", F.xxhash64("text").alias("text_key"),
                  F.explode(let(parts, lambda p: _runs_of(p, min_words))).alias("r"))
     return d.select("id", "text_key", "r.*")
