@@ -65,17 +65,24 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
+def text_key(text_col: str = "text") -> Column:
+    """128 bits that stand for a text; with the id, the identity of a row."""
+    return F.unhex(F.md5(text_of(text_col)))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) of every row; fp is a signed long."""
+                 shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(id, fp) of every row, and its ``text_key`` if ``keyed``; fp is a signed long."""
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
-                [simhash(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.int64())], ["id", "fp"])
+            fps = [simhash(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]],
+                                             ["id", "fp", "key"][:b.num_columns])
 
     arrow_batches(docs.sparkSession)
-    d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return d.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long")
+    d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"),
+                    *[text_key(text_col).alias("key")] * keyed)
+    return d.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long" + ", key binary" * keyed)
 
 
 def positional_byte(fp: Column, position: int) -> Column:
@@ -154,18 +161,26 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     return d.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """(id, fingerprint in hex, component_id: the smallest id that the links
-    reach) of every row."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+            max_bits: int = MAX_BITS, block: int = BLOCK, keyed: bool = False) -> DataFrame:
+    """(fp, id, component_id: the smallest id that the links reach, root: the
+    group's own fingerprint, which names it whatever its ids are) of every
+    row, and its ``text_key`` if ``keyed``."""
     if max_bits != MAX_BITS:
         raise ValueError("the triple lists guarantee links of up to 3 bits")
-    d = keep(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    d = keep(fingerprints(docs, id_col, text_col, shingle, keyed), "fingerprints")
     groups = keep(d.groupBy("fp").agg(F.min("id").alias("least")), "groups")
     roots = components(links(groups.select("fp"), max_bits, block)).withColumnRenamed("node", "fp")
     named = groups.join(roots, "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("fp", "component_id")
-    return d.join(named, "fp").select(
+    named = named.join(ids, "root").select("fp", "component_id", "root")
+    return d.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """(id, fingerprint in hex, component_id: the smallest id that the links
+    reach) of every row."""
+    return grouped(docs, id_col, text_col, shingle, max_bits, block).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

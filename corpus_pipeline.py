@@ -35,14 +35,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays: the one whose
-    id names the group (of rows that share that id, the first by text)."""
-    groups = simhash_dedup.near_duplicates(docs)
-    firsts = groups.groupBy("component_id").agg(F.count("*").alias("rows")).select(F.col("component_id").alias("_first"))
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    """One document of each group of linked fingerprints stays: the least by
+    id (null ids last), of rows that share that id the first by text.  Groups
+    go by their root fingerprint and rows by id and text, never by id alone."""
+    groups = simhash_dedup.grouped(docs, keyed=True)
+    firsts = (groups.where(F.col("id").eqNullSafe(F.col("component_id")))
+              .select(F.col("root").alias("_nd_root"), F.col("id").alias("_nd_id"), F.col("key").alias("_nd_key")).distinct())
+    d = docs.withColumn("_nd_text", simhash_dedup.text_key())
+    kept = d.join(firsts, (F.col("_nd_text") == F.col("_nd_key")) & F.col("doc_id").eqNullSafe(F.col("_nd_id")))
     order = [F.col(c).asc_nulls_last() for c in ("text", "source", "lang", "n_chars")]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    return kept.withColumn("_nd_row", first).where("_nd_row = 1").drop("_nd_row")
+    first = F.row_number().over(Window.partitionBy("_nd_root").orderBy(*order))
+    return kept.withColumn("_nd_row", first).where("_nd_row = 1").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
