@@ -1,4 +1,4 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by hashes of whole runs of lines.
 
 A document is the sequence of its lines with a word (edges trimmed).  From
 every line a *run* grows to the right, and one to the left, until it has
@@ -7,11 +7,10 @@ window minimum): equal runs have equal minima, so every passage of
 ``min_words`` words or more that stands twice is guaranteed to leave the same
 fingerprint at both places.
 
-1. Fingerprint positions, each with the runs that chose it, are joined by
-   fingerprint; those that stand once in the corpus go.
-2. Around the rest, matches are extended both ways: the runs that grow to the
-   left and to the right of a fingerprint are compared whole, by a 128-bit
-   hash.  Of equal runs the first in the order of documents (id, then text
+1. Runs whose fingerprint is no other run's go: a filter only, and a weak one,
+   as the runs around one minimum share it.  Positions are not joined.
+2. The rest, grown to the left and to the right of every line beforehand, are
+   compared whole, by a 128-bit hash.  Of equal runs the first in the order of documents (id, then text
    hash) and lines stays; the lines of every later one are marked.  Every run
    inside a longer repeated passage repeats too, so the marked runs add up to
    the whole passage: a line is deleted exactly if some run of consecutive
