@@ -21,7 +21,6 @@ and which part a word is in changes nothing but its way.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +43,12 @@ SLICE = 1 << 18
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
 
-@lru_cache(maxsize=1)
-def char_classes() -> np.ndarray:
-    """Class of every code point, as the tokenizers library sees it."""
+def char_classes(kept: list = []) -> np.ndarray:  # noqa: B006
+    """Class of every code point, as the tokenizers library sees it.  The table
+    is kept in the default argument: a plain function travels by value, a cache
+    wrapper would travel by name and need this package on the executors."""
+    if kept:
+        return kept[0]
     from tokenizers import Regex, pre_tokenizers
 
     table = np.zeros(0x110000, np.uint8)
@@ -58,6 +60,7 @@ def char_classes() -> np.ndarray:
             for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
                 inside[a:b] = False  # what is left stands between the matches
             table[points[inside]] = kind
+    kept.append(table)
     return table
 
 

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    ann, bpe, line_dedup, license_scan, mixing, quality_classifier, quality_rules, simhash_dedup, token_counts, url_filter)
+    ann, bpe, line_dedup, license_scan, mixing, quality_classifier, quality_rules, simhash_dedup, token_alignment, token_counts,
+    url_filter)
 from basketry.llm.common import Store, table
 
 #: Overrides the vocabulary file.
 VOCABULARY_VARIABLE = "BASKETRY_BPE_VOCABULARY"
+#: Overrides the sentencepiece model.
+PIECE_VARIABLE = "BASKETRY_PIECE_MODEL"
 
 
 def vocabulary() -> str:
@@ -26,6 +29,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    """The sentencepiece model: the file that the environment names, or the
+    one that the public tokenizers package has."""
+    if path := os.environ.get(PIECE_VARIABLE):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary()
     d = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -79,9 +92,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = token_alignment.alignment(table(spark, sf_dir, "documents"), vocabulary(), piece_model())
+    return rows
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_mixing, op3_license_scan, op4_line_dedup, op5_simhash, op6_url_filter, op7_quality_rules,
-    op8_neighbours, op9_token_counts, op10_quality_classifier)}
+    op8_neighbours, op9_token_counts, op10_quality_classifier, op11_token_alignment)}
 
 #: The targets: capped sources first by cap over weight; the first that is not
 #: capped fixes the rate.  Copies are cut where the (whole) target ends.
