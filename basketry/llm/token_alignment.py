@@ -18,8 +18,8 @@ ways: the most frequent pairs (``FREQUENT`` rows at most) are broadcast, what
 is left of the documents' pairs is joined by pair and summed by row.  Which way
 a pair takes changes no result, and the hot pairs never enter a shuffle.
 
-Scale: words are encoded once for each slice of about ``SLICE`` bytes.  Longer
-texts are cut into segments where a space follows a character that is no white
+Scale: texts are aligned in slices of about ``SLICE`` bytes, and a task encodes
+a word again only when its memo was full in between.  Longer texts are cut into segments where a space follows a character that is no white
 space: neither tokenizer has a token across such a place (checked for B's
 pieces), so it is a shared cut, and memory does not grow with the text.  Only a
 stretch without any such place is held whole.
@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ from basketry.llm.pretokens import char_classes, file_bytes, split
 SLICE = 1 << 18
 #: Pairs whose counts are broadcast, at most.
 FREQUENT = 1 << 19
+#: Ids that a task remembers for each tokenizer, about.
+MEMO = 1 << 20
 MARK = "▁"  # stands for a space in sentencepiece's pieces
 
 
@@ -136,7 +139,9 @@ class Tokenizers:
         self.a.no_truncation()
         self.a.no_padding()
         self.b = SentencePieceProcessor(model_proto=self._files.value[1])
-        self.lone = self.b.piece_to_id(MARK)
+        lone = [self.b.piece_to_id(MARK)]  # a space that nothing follows
+        self.memo_a = Memo(lambda ws: [e.ids for e in self.a.encode_batch_fast(ws, add_special_tokens=False)])
+        self.memo_b = Memo(lambda ws: [x or lone for x in self.b.encode([w[1:] for w in ws], num_threads=1)])
         self.classes = np.frombuffer(self._classes.value, np.uint8)
         self.spelled = [pa.array(x, pa.large_binary()) for x in self._pieces.value]
         self.lengths = [np.array([len(y) for y in x], np.int64) for x in self._pieces.value]
@@ -150,7 +155,7 @@ class Tokenizers:
     def encode_a(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids up to the end of each)."""
         counts, words = split([t.decode() for t in texts], (), self.classes)
-        return _ids(counts, words, lambda ws: [e.ids for e in self.a.encode_batch_fast(ws, add_special_tokens=False)])
+        return self.memo_a(counts, words)
 
     def encode_b(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same; every text begins with the space that the model puts."""
@@ -164,15 +169,41 @@ class Tokenizers:
         at = np.append(np.flatnonzero(start), len(byte))
         words = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
         counts = np.diff(np.searchsorted(at, np.append(0, ends)))
-        return _ids(counts, words, lambda ws: [x or [self.lone] for x in self.b.encode([w[1:] for w in ws], num_threads=1)])
-
-
-def _ids(counts: np.ndarray, words: pa.Array, encode) -> tuple[np.ndarray, np.ndarray]:
-    d = words.dictionary_encode()
-    each = pa.array(encode(d.dictionary.to_pylist()), pa.list_(pa.int32()))
-    all_ids = each.take(d.indices)
-    ends = np.cumsum(counts)
-    return all_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64), all_ids.offsets.to_numpy()[ends].astype(np.int64)
+        return self.memo_b(counts, words)
+
+
+class Memo:
+    """Ids of the words that a task has met: a word is encoded once, until the
+    memo holds ``MEMO`` ids and begins anew."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.clear()
+
+    def clear(self) -> None:
+        self.place, self.ids, self.ends = {}, np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def __call__(self, counts: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words one after the other, number of ids up to the end
+        of each text of ``counts`` words)."""
+        if len(self.ids) > MEMO:
+            self.clear()
+        d = words.dictionary_encode()
+        distinct = d.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = [self.place.get(w, -1) for w in distinct]
+        new = [w for w, k in zip(distinct, at, strict=True) if k < 0]
+        if new:
+            lists, known = self.encode(new), len(self.place)
+            self.place.update(zip(new, range(known, known + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.int64)])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.fromiter(map(len, lists), np.int64, len(new)))])
+        at = np.array(at, np.int64)
+        at[at < 0] = len(self.place) - len(new) + np.arange(len(new))
+        at = at[d.indices.to_numpy(zero_copy_only=False)]
+        begin = self.ends[at]
+        size = self.ends[at + 1] - begin
+        total = np.append(0, np.cumsum(size))
+        return self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], size)], total[np.cumsum(counts)]
 
 
 def _joined(table: pa.Array, at: np.ndarray, ends: np.ndarray) -> list[bytes]:
