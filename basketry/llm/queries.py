@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    ann, bpe, line_dedup, license_scan, mixing, quality_classifier, quality_rules, simhash_dedup, token_alignment, token_counts,
+    ann, bpe, conversation_repair, line_dedup, license_scan, mixing, quality_classifier, quality_rules, simhash_dedup, token_alignment, token_counts,
     url_filter)
 from basketry.llm.common import Store, table
 
@@ -97,9 +97,22 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    summary, repaired = conversation_repair.repair(conversation_repair.damage(rows))
+    out = rows.select("conv_id").distinct()
+    for d in (summary, conversation_repair.digests(repaired)):
+        own = d.withColumnRenamed(d.columns[0], "_conv")
+        out = out.join(own, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in summary.columns[1:-1]]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_mixing, op3_license_scan, op4_line_dedup, op5_simhash, op6_url_filter, op7_quality_rules,
-    op8_neighbours, op9_token_counts, op10_quality_classifier, op11_token_alignment)}
+    op8_neighbours, op9_token_counts, op10_quality_classifier, op11_token_alignment,
+    op12_conversation_repair)}
 
 #: The targets: capped sources first by cap over weight; the first that is not
 #: capped fixes the rate.  Copies are cut where the (whole) target ends.
