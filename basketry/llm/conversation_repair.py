@@ -283,7 +283,8 @@ def edits(blocked: DataFrame, conv_type: str) -> DataFrame:
 
     def exits(rows) -> Iterator[dict]:
         for r in rows:
-            yield r | {"exits": [unroll(r["runs"], r["sizes"], q, tuple(r["after"]), False, []) for q in range(4)]}
+            # where a conversation's last block leads is of no use
+            yield r | {"exits": [] if r["last"] else [unroll(r["runs"], r["sizes"], q, tuple(r["after"]), False, []) for q in range(4)]}
 
     def entries(rows) -> Iterator[dict]:
         """From a conversation's first block to its last."""
@@ -296,7 +297,7 @@ def edits(blocked: DataFrame, conv_type: str) -> DataFrame:
                 r["cost"] = 0
             tail = r["runs"][-1] // 3
             yield r | {"entry": q}
-            q = r["exits"][q]
+            q = q if r["last"] else r["exits"][q]
 
     def audits(rows) -> Iterator[dict]:
         for r in rows:

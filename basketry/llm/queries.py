@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    ann, bpe, conversation_repair, line_dedup, license_scan, mixing, quality_classifier, quality_rules, simhash_dedup, token_alignment, token_counts,
+    ann, bpe, conversation_repair, jaccard_join, line_dedup, license_scan, mixing, quality_classifier, quality_rules, simhash_dedup, token_alignment, token_counts,
     url_filter)
 from basketry.llm.common import Store, table
 
@@ -109,10 +109,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_mixing, op3_license_scan, op4_line_dedup, op5_simhash, op6_url_filter, op7_quality_rules,
     op8_neighbours, op9_token_counts, op10_quality_classifier, op11_token_alignment,
-    op12_conversation_repair)}
+    op12_conversation_repair, op13_jaccard_join)}
 
 #: The targets: capped sources first by cap over weight; the first that is not
 #: capped fixes the rate.  Copies are cut where the (whole) target ends.
