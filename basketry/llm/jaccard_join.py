@@ -17,8 +17,11 @@ class.  Then every pair of groups that meet and hold sets of different classes
 is expanded and verified, whatever their number.  So a large group of near
 copies costs a few comparisons a member, and no link between classes is missed.
 
+Of a pair that meets in a short list sizes and places are looked at before
+anything else is done with it.
+
 Scale: which shingles are common is read from reports of every task over its
-whole input (``HOT`` rows at most are broadcast); it orders the sets and never
+whole input (``HOT`` rows at most are broadcast); that orders the sets and never
 changes a result.  Copies and equal groups are merged with map-side combine
 before their shingles are shuffled.  Whole sets travel only for documents whose
 prefix meets another: a Bloom filter of bounded size lets all of those through,
@@ -35,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,7 @@ from pyspark.sql import functions as F
 from basketry.llm.common import Store, arrow_batches, text_of
 from basketry.llm.components import components
 from basketry.operators.bitmaps import SEGMENT, packed
+from basketry.sources.store import delete_path
 
 SHINGLE = 5
 PERCENT = 80
@@ -56,33 +61,65 @@ PIVOTS = 2
 #: Bits of the Bloom filter, at most.
 BLOOM = 1 << 27
 PIECE = 1 << 20
+#: Bits of the shingles by which sets meet; what meets is compared by whole hashes.
+MEET = (1 << 48) - 1
+#: Longest list of sets that meet whose pairs are looked at one by one before the rounds.
+SHORT = 32
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
-
-
-class WordHashes(dict):
-    """Hash of every word met; long words are not kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        h = xxh64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-def shingles(text: bytes, size: int, memo: WordHashes) -> np.ndarray:
-    """The set of a text: sorted hashes of its shingles."""
-    if len(memo) > 1 << 18:
-        memo.clear()
-    hashes, begin = [], 0
-    while begin < len(text):  # words of a piece at a time
-        cut = BLANK.search(text, begin + PIECE) if len(text) - begin > PIECE else None
-        end = cut.start() if cut else len(text)
-        words = text[begin:end].lower().split()  # bytes: A-Z only, the six ASCII blanks only
-        hashes.append(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)))
-        begin = end
-    word = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+#: Bytes with A-Z lower-cased and the six blanks as spaces.
+LOWER = np.array([32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+
+
+def pieces_of(text: bytes) -> list[bytes]:
+    """A text in pieces of about PIECE bytes, cut at blanks."""
+    out, begin = [], 0
+    while len(text) - begin > PIECE and (cut := BLANK.search(text, begin + PIECE)):
+        out.append(text[begin:cut.start()])
+        begin = cut.start()
+    return [*out, text[begin:]]
+
+
+def word_hashes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word of the pieces, number of words up to each piece's
+    end).  Words stand between the six ASCII blanks and A-Z are lower-cased."""
+    byte = LOWER[np.frombuffer(b" ".join(pieces) + b" ", np.uint8)]
+    full = byte != 32
+    edge = np.flatnonzero(np.diff(full, prepend=False))
+    start, end = edge[::2], edge[1::2]
+    ends = np.searchsorted(start, np.cumsum([len(x) + 1 for x in pieces]))
+    if not len(start):
+        return np.zeros(0, np.uint64), ends
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+    power = np.cumprod(np.full(size.max(), 0x9E3779B97F4A7C15, np.uint64))
+    h = np.add.reduceat((byte[full].astype(np.uint64) + np.uint64(1)) * power[place], first)
+    h ^= size.astype(np.uint64) << np.uint64(32)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32)), ends
+
+
+def sets_of(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    """The set of each text: sorted hashes of its shingles."""
+    owner = [(i, x) for i, t in enumerate(texts) for x in pieces_of(t)]
+    at, held = 0, []
+    while at < len(owner):
+        to, bytes_ = at, 0
+        while to < len(owner) and (to == at or bytes_ + len(owner[to][1]) <= PIECE):
+            bytes_ += len(owner[to][1])
+            to += 1
+        h, ends = word_hashes([x for _, x in owner[at:to]])
+        begin = 0
+        for k in range(at, to):
+            held.append(h[begin:ends[k - at]])
+            begin = ends[k - at]
+            if k + 1 == len(owner) or owner[k + 1][0] != owner[k][0]:  # a text's last piece
+                yield shingles(held[0] if len(held) == 1 else np.concatenate(held), size)
+                held = []
+        at = to
+
+
+def shingles(word: np.ndarray, size: int) -> np.ndarray:
     if not len(word):
         return np.zeros(0, np.int64)
     k, n = min(size, len(word)), max(len(word) - size + 1, 1)
@@ -110,7 +147,7 @@ def common_shingles(docs: DataFrame, size: int, hot: int, local: int) -> np.ndar
         return keys[keep], counts[keep]
 
     def report(batches):
-        memo, new, n = WordHashes(), [], 0
+        new, n = [], 0
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def merged(keys, counts, new):
@@ -119,9 +156,9 @@ def common_shingles(docs: DataFrame, size: int, hot: int, local: int) -> np.ndar
             return largest(both, np.bincount(at, np.concatenate([counts, c])).astype(np.int64), 8 * local)
 
         for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                new.append(shingles(t, size, memo))
-                n += len(new[-1])
+            for s in sets_of(b.column(0).cast(pa.binary()).to_pylist(), size):
+                new.append(s)
+                n += len(s)
                 if n > 16 * local:
                     keys, counts = merged(keys, counts, new)
                     new, n = [], 0
@@ -150,12 +187,10 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
     shared = docs.sparkSession.sparkContext.broadcast((common[order].tobytes(), order.tobytes()))
 
     def run(batches):
-        memo = WordHashes()
         keys, rank = (np.frombuffer(x, np.int64) for x in shared.value)
         for b in batches:
             rows = []
-            for t in b.column(1).cast(pa.binary()).to_pylist():
-                s = shingles(t, size, memo)
+            for s in sets_of(b.column(1).cast(pa.binary()).to_pylist(), size):
                 if not len(s):
                     rows.append((0, None, None, None))
                     continue
@@ -166,7 +201,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
                 if len(first) < p:
                     first = np.concatenate([first, s[hot][np.argsort(rank[at[hot]])][:p - len(first)]])
                 rows.append((len(s), hashlib.md5(s.tobytes()).digest(),
-                             hashlib.md5(first.tobytes() + len(s).to_bytes(8, "little")).digest(), first))
+                             hashlib.md5(first.tobytes() + len(s).to_bytes(8, "little")).digest(), first & MEET))
             cols = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()),
@@ -188,11 +223,10 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, size: int, bloom: int) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(filled.tobytes())
 
     def run(batches):
-        memo, filled = WordHashes(), np.frombuffer(shared.value, np.uint8)
+        filled = np.frombuffer(shared.value, np.uint8)
         for b in batches:
             rows = []
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                s = shingles(t, size, memo)
+            for s in sets_of(b.column(0).cast(pa.binary()).to_pylist(), size):
                 if not len(s):
                     continue
                 key = hashlib.md5(s.tobytes()).digest()
@@ -236,8 +270,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
     spark = docs.sparkSession
     store = Store(spark)
     arrow_batches(spark)
-    rows = store.write(prefixes(docs, size, percent, common_shingles(docs, size, hot, local)), "prefixes")
-    full = rows.where("n > 0")
+    full = store.write(prefixes(docs, size, percent, common_shingles(docs, size, hot, local)), "prefixes")
+    rows, full = store.write(full.select("id", "n", "set_key"), "rows"), full.where("n > 0")
     groups = full.groupBy("group_key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     groups = store.write(groups.withColumn("group", F.monotonically_increasing_id()), "groups")
     sets = full.groupBy("set_key").agg(F.first("group_key").alias("group_key"), F.min("id").alias("least"))
@@ -246,8 +280,12 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
 
     # lists of prefix shingles in which two groups or more meet
     posted = groups.select("group", "n", F.posexplode("prefix").alias("place", "shingle"))
-    shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
-    lists = store.write(posted.join(shared, "shingle"), "lists")
+    shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    delete_path(spark, store.path("prefixes"))
+    lists = store.write(posted.join(shared, "shingle"), "meeting")
+    delete_path(spark, store.path("groups"))
+    lists = store.write(_with_partner(lists, percent), "lists")
+    delete_path(spark, store.path("meeting"))
     several = sets.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("group")
     meeting = lists.select("group").unionByName(several).distinct()
     wanted = store.write(sets.join(meeting, "group").select("set", "set_key", "group"), "wanted")
@@ -269,7 +307,24 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
         else:
             k = rounds if k < rounds else rounds + 1  # pivots have no more to say: the exact round is next
     sets = sets.join(roots, F.col("set") == F.col("node"), "left")
-    return rows.drop("prefix", "group_key"), sets.select("set_key", F.coalesce("root", "set").alias("root"), "least")
+    return rows, sets.select("set_key", F.coalesce("root", "set").alias("root"), "least")
+
+
+def _with_partner(lists: DataFrame, percent: int) -> DataFrame:
+    """The rows of the lists that have a partner they may link with.  Only
+    short lists are looked at; rows of longer ones (in parts of about SHORT
+    rows here) all stay."""
+    cell = F.when(F.col("m") <= SHORT, 0).otherwise(F.pmod(F.xxhash64("group"), F.floor(F.col("m") / SHORT)).cast("int"))
+    d = lists.groupBy("shingle", cell.alias("cell"), "m").agg(F.collect_list(F.struct("group", "n", "place")).alias("all"))
+
+    def links(x, y):
+        sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
+        room = F.least(x["n"] - x["place"], y["n"] - y["place"]) * (100 + percent) >= (x["n"] + y["n"]) * percent
+        return (x["group"] != y["group"]) & sizes & room
+
+    kept = F.when(F.col("m") > SHORT, F.col("all")).otherwise(
+        F.filter("all", lambda x: F.exists("all", lambda y: links(x, y))))
+    return d.select("shingle", F.inline(kept))
 
 
 def _roots(wanted: DataFrame, links: DataFrame) -> DataFrame:

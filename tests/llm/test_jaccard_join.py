@@ -98,7 +98,8 @@ def test_threshold_is_exact(spark):
 
 
 def test_long_text_in_pieces(monkeypatch):
-    text = b" ".join(b"word%d" % (i % 5000) for i in range(60_000)) + b"\t" * 300 + b"end"
-    whole = jj.shingles(text, 5, jj.WordHashes())
+    texts = [b" ".join(b"word%d" % (i % 5000) for i in range(60_000)) + b"\t" * 300 + b"end", b"", b" a", b"x" * 5000, b"A b"]
+    whole = [s.tolist() for s in jj.sets_of(texts, 5)]
     monkeypatch.setattr(jj, "PIECE", 1000)
-    assert jj.shingles(text, 5, jj.WordHashes()).tolist() == whole.tolist()
+    assert [s.tolist() for s in jj.sets_of(texts, 5)] == whole
+    assert [len(x) for x in whole] == [5001, 0, 1, 1, 1]
