@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 
 from basketry.plans.levels import Level, LevelMiner
 from basketry.plans.pcy import PCYMiner
-from basketry.plans.scan import ScanMiner
-from basketry.plans.son import SONMiner
+from basketry.plans.scan import BasketScanMiner, ScanMiner
+from basketry.plans.son import SONMiner, TwoPassSON
 from basketry.plans.toivonen import Toivonen
 from basketry.plans.transactions import Baskets
 from basketry.sources.store import Store
 
-STRATEGIES = ("apriori", "apriori_scan", "pcy", "son", "toivonen")
+STRATEGIES = ("apriori", "apriori_scan", "apriori_basket_scan", "pcy", "son", "son_two_pass", "toivonen")
 
 
 def _baskets(transactions: DataFrame | Baskets, basket: str, item: str, hot_items: int | None,
@@ -48,6 +48,10 @@ def mine_levels(transactions: DataFrame | Baskets, threshold: int, strategy: str
         return PCYMiner(b, threshold, max_k=max_k, **options).levels()
     if strategy == "son":
         return SONMiner(b, threshold, max_k=max_k, **options).levels()
+    if strategy == "apriori_basket_scan":
+        return BasketScanMiner(b, threshold, max_k, **options).levels()
+    if strategy == "son_two_pass":
+        return TwoPassSON(b, threshold, max_k=max_k, **options).levels()
     if strategy == "toivonen":
         res = Toivonen(b, threshold, max_k=max_k, **options).run()
         if res.status != "success":

@@ -21,16 +21,16 @@ from basketry.functions.columns import BASKET, ITEM, SUPPORT, item_cols
 from basketry.functions.hashing import hash_product, hash_weighted
 from basketry.functions.ids import format_item_id, parse_item_id
 from basketry.operators.aggregates import basket_count, chunk_sizes, count_support, infrequent_filter, itemset_stats
-from basketry.operators.candidates import apriori_gen, bitmap_filter
+from basketry.operators.candidates import apriori_gen, bitmap_filter, monotonicity_prune, packed_bitmaps, packed_filter
 from basketry.operators.joins import extend_occurrences, semi_join
 from basketry.operators.report import (distinct_itemsets, expand_itemset, label_itemsets, pack_itemset,
                                        top_itemsets)
-from basketry.operators.sampling import sample_baskets
+from basketry.operators.sampling import sample_baskets, sample_with_replacement, weighted_support
 from basketry.operators.windows import consecutive_index, support_window
 from basketry.plans.levels import LevelMiner, itemsets_as_text
 from basketry.plans.pcy import PCYMiner
-from basketry.plans.scan import ScanMiner
-from basketry.plans.son import SONMiner
+from basketry.plans.scan import BasketScanMiner, ScanMiner
+from basketry.plans.son import SONMiner, TwoPassSON
 from basketry.plans.toivonen import Toivonen
 from basketry.plans.transactions import Baskets, extract_transactions
 from basketry.sources import tables as T
@@ -92,6 +92,10 @@ def run(spark: SparkSession, sf_dir: str, fixture: str, strategy: str, threshold
             m = PCYMiner(b, threshold, **opts)
         elif strategy == "son":
             m = SONMiner(b, threshold, chunks=son_chunk, **opts)
+        elif strategy == "apriori_basket_scan":
+            m = BasketScanMiner(b, threshold, **opts)
+        elif strategy == "son_two_pass":
+            m = TwoPassSON(b, threshold, chunks=son_chunk, **opts)
         elif strategy == "toivonen":
             m = Toivonen(b, threshold, **opts)
             m.result = m.run()
@@ -335,6 +339,29 @@ def q_pcy_bitmap_filter(spark, sf):
     return bitmap_filter(pairs, 2, m.bitmaps[2], m.hash_functions, m.buckets)
 
 
+def q_pcy_bitmap_packed(spark, sf):
+    m = run(spark, sf, "supp", "pcy", SUPP_T, **PCY)
+    pairs = extend_occurrences(m.history[0].occurrences, 2).select(*item_cols(2)).distinct()
+    return packed_filter(pairs, 2, packed_bitmaps(m.bucket_tables[2], SUPP_T), m.hash_functions, m.buckets)
+
+
+def q_monotonicity_prune_k4(spark, sf):
+    """Every 4-set that two frequent 3-sets of one prefix make, all subsets tested."""
+    l3 = run(spark, sf, "brand", "apriori", BRAND_T).history[2]
+    sets = l3.itemsets.select(F.lit(0).alias(BASKET), *item_cols(3))
+    return monotonicity_prune(extend_occurrences(sets, 4).select(*item_cols(4)), l3.itemsets, 4, l3.n)
+
+
+def q_sample_with_replacement(spark, sf):
+    return sample_with_replacement(baskets(spark, sf, "brand").df, TOI_SIZE, TOI_SEED)
+
+
+def q_weighted_support(spark, sf):
+    b = baskets(spark, sf, "brand").df
+    draws = sample_with_replacement(b, TOI_SIZE, TOI_SEED)
+    return weighted_support(extend_occurrences(b.withColumnRenamed(ITEM, "item1"), 2), 2, draws)
+
+
 def q_level(fixture, strategy, threshold, k, **opts):
     def q(spark, sf):
         return level(spark, sf, fixture, strategy, threshold, k, **opts)
@@ -469,6 +496,8 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "itemset_expand": q_itemset_expand,
     "monotonicity_prune": q_monotonicity_prune,
     "pcy_bitmap_filter": q_pcy_bitmap_filter,
+    "pcy_bitmap_packed": q_pcy_bitmap_packed,
+    "monotonicity_prune_k4": q_monotonicity_prune_k4,
     # joins
     "join_inner": q_join_inner,
     "join_left": q_join_left,
@@ -494,6 +523,8 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sort / limit / sampling
     "topk_itemsets": q_topk_itemsets,
     "sample_exact": q_sample_exact,
+    "sample_with_replacement": q_sample_with_replacement,
+    "weighted_support": q_weighted_support,
     # set operations
     "son_candidates_k2": q_son_candidates(2),
     "son_candidates_k3": q_son_candidates(3),
@@ -519,6 +550,10 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pcy_k3": q_level("supp", "pcy", SUPP_T, 3, **PCY),
     "son_k2": q_level("supp", "son", SUPP_T, 2),
     "son_k3": q_level("supp", "son", SUPP_T, 3),
+    "apriori_basket_scan_k2": q_level("supp", "apriori_basket_scan", SUPP_T, 2),
+    "apriori_basket_scan_k3": q_level("supp", "apriori_basket_scan", SUPP_T, 3),
+    "son_two_pass_k2": q_level("supp", "son_two_pass", SUPP_T, 2),
+    "son_two_pass_k3": q_level("supp", "son_two_pass", SUPP_T, 3),
     "toivonen_k2": q_toivonen_level(2),
     "toivonen_k3": q_toivonen_level(3),
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import BASKET, SALT, item_cols
 from basketry.functions.combos import subsets_minus_one
 from basketry.functions.hashing import HashFn, hash_inputs
+from basketry.operators.bitmaps import SEGMENT, has_bit, packed
 from basketry.operators.joins import broadcast_if_small, extend_occurrences, semi_join
 from basketry.operators.skew import DEFAULT_HOT_ITEMS
 from basketry.sources.store import Store
@@ -28,13 +29,24 @@ def monotonicity_prune(cand: DataFrame, lprev: DataFrame, k: int, n_prev: int |
                        skip: Sequence[int] = ()) -> DataFrame:
     """Keep a k-itemset iff every (k-1)-subset is in ``lprev``.
     ``skip`` lists subset positions already known to hold (e.g. the two
-    subsets a prefix join guarantees)."""
-    out = cand
-    for pos, cols in enumerate(subsets_minus_one(k)):
-        if pos in skip:
-            continue
-        out = semi_join(out, _renamed(lprev, cols), on=cols, rows=n_prev)
-    return out
+    subsets a prefix join guarantees).
+
+    One join for any k: every candidate is exploded into its subsets, these
+    meet ``lprev`` once, and candidates with all of them found are kept.  A
+    single subset needs no counting: it is a semi join."""
+    todo = [cols for pos, cols in enumerate(subsets_minus_one(k)) if pos not in skip]
+    if not todo:
+        return cand
+    if len(todo) == 1:
+        return semi_join(cand, _renamed(lprev, todo[0]), on=todo[0], rows=n_prev)
+    names = [f"_s{i}" for i in range(1, k)]
+    subsets = F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(cols, names)]) for cols in todo])
+    known = broadcast_if_small(_renamed(lprev, names), n_prev)
+    # a candidate that stands more than once stays as often: rows are told apart
+    whole = cand.withColumn("_row", F.monotonically_increasing_id())
+    found = whole.select("_row", *cand.columns, F.inline(subsets)).join(known, on=names)
+    return (found.groupBy("_row", *cand.columns).agg(F.count(F.lit(1)).alias("_found"))
+            .where(F.col("_found") == len(todo)).select(*cand.columns))
 
 
 def apriori_gen(lprev: DataFrame, k: int, n_prev: int | None = None,
@@ -81,3 +93,25 @@ def bitmap_filter(df: DataFrame, k: int, bitmaps: DataFrame, hash_functions: Seq
                .join(broadcast_if_small(bm, buckets), on=f"_b{i}", how="left_semi")
                .drop(f"_b{i}"))
     return out
+
+
+def packed_bitmaps(buckets_table: DataFrame, threshold: int) -> DataFrame:
+    """P10, packed: (hash_id, segment, bits) of the buckets counted at least
+    ``threshold`` times; 10^8 buckets take 12.5 MB for each hash."""
+    return packed(buckets_table.where(F.col("n") >= F.lit(int(threshold))), "bucket", ("hash_id",))
+
+
+def packed_filter(df: DataFrame, k: int, bitmaps: DataFrame, hash_functions: Sequence[HashFn], buckets: int) -> DataFrame:
+    """P10 on packed bitmaps: keep an itemset iff its bit is set under every
+    hash function.  The bitmaps are broadcast only if all their segments, full,
+    fit the session's limit; otherwise the join by segment is a shuffle join."""
+    items = hash_inputs(df, item_cols(k))
+    segments = -(-int(buckets) // SEGMENT)
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    out = df
+    for i, h in enumerate(hash_functions):
+        own = bitmaps.where(F.col("hash_id") == i).select(F.col("segment").alias("_segment"), "bits")
+        own = F.broadcast(own) if segments * SEGMENT // 8 <= limit else own
+        out = (out.withColumn("_bucket", h(items, buckets)).withColumn("_segment", F.floor(F.col("_bucket") / SEGMENT).cast("bigint"))
+               .join(own, on="_segment").where(has_bit(F.col("bits"), F.col("_bucket"))).select(*df.columns))
+    return out

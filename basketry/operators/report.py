@@ -48,24 +48,19 @@ def label_itemsets(lk: DataFrame, names: DataFrame, key: str, label: str,
                    format_ids: bool = False) -> DataFrame:
     """``support, item1, item1_name, ..., itemk, itemk_name``.
 
-    Items without a label get null (left join).  ``names`` can be as large
-    as the item universe, so it is first cut to the items that occur in
-    ``lk`` (one semi join); the k label joins then run against that cut
-    table, which Spark may broadcast once it sees its real size.  With
-    ``format_ids`` the items are rendered as text ids (F2) before joining,
-    for label tables keyed by such ids.
+    Items without a label get null.  One join for any k: the itemsets' items
+    are put in long form with their place, meet ``names`` once and are grouped
+    back by itemset.  An item with several labels gets the least; with
+    ``format_ids`` the items are rendered as text ids (F2) before joining, for
+    label tables keyed by such ids.
     """
     k = level_of(lk.columns)
     items = item_cols(k)
     df = lk.select(SUPPORT, *[(format_item_id(c) if format_ids else F.col(c)).alias(c) for c in items])
-    used = df.select(F.explode(F.array(*items)).alias("_key")).distinct()
-    lab = (names.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-           .join(used, on="_key", how="left_semi"))
-    out = df
-    for c in items:
-        out = (out.join(lab.select(F.col("_key").alias(c), F.col("_label").alias(f"{c}_name")),
-                        on=c, how="left"))
-    cols = [SUPPORT]
-    for c in items:
-        cols += [c, f"{c}_name"]
-    return out.select(*cols)
+    # rows are told apart, so that equal ones stay
+    df = df.withColumn("_row", F.monotonically_increasing_id())
+    long = df.select("*", F.posexplode(F.array(*items)).alias("_place", "_key"))
+    lab = names.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    wide = long.join(lab, on="_key", how="left").groupBy("_row", SUPPORT, *items).agg(
+        *[F.min(F.when(F.col("_place") == i, F.col("_label"))).alias(f"{c}_name") for i, c in enumerate(items)])
+    return wide.select(SUPPORT, *[x for c in items for x in (c, f"{c}_name")])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import BASKET
+from basketry.functions.columns import BASKET, SUPPORT, item_cols
 from basketry.operators.windows import consecutive_index
 from basketry.sources.store import Store
 
@@ -52,3 +52,26 @@ def sample_baskets(transactions: DataFrame, size: int, seed: int, basket: str =
     cand = cand if frac < 1.0 else keys
     ranked = consecutive_index(cand.select(basket, "_h"), ["_h", basket], index_col="_rank")
     return ranked.where(F.col("_rank") <= size).select(basket)
+
+
+def sample_with_replacement(transactions: DataFrame, size: int, seed: int, basket: str = BASKET) -> DataFrame:
+    """(basket, draws) of ``size`` seeded draws with replacement.  Draw i takes
+    the basket at place ``hash("{seed}:{i}") mod n`` in the order of the keys; the
+    keys are numbered by the distributed ``consecutive_index``, the draws are
+    made and counted by place before they meet the keys, so neither passes
+    through one task."""
+    spark = transactions.sparkSession
+    keys = consecutive_index(transactions.select(basket).distinct(), [basket], index_col="_place")
+    keys = Store(spark).write(keys, "numbered")
+    n = keys.count()
+    if not n:
+        return keys.select(basket, F.lit(0).cast("bigint").alias("draws"))
+    place = F.pmod(_prefix_number(sample_key(F.col("id"), seed)), F.lit(n)) + 1
+    draws = spark.range(int(size)).groupBy(place.alias("_place")).agg(F.count(F.lit(1)).alias("draws"))
+    return keys.join(draws, "_place").select(basket, "draws")
+
+
+def weighted_support(occ: DataFrame, k: int, draws: DataFrame, basket: str = BASKET) -> DataFrame:
+    """Support of k-itemsets in a sample with multiplicities: a basket counts
+    as often as it was drawn."""
+    return (occ.join(draws, basket).groupBy(*item_cols(k)).agg(F.sum("draws").cast("bigint").alias(SUPPORT)))

@@ -176,6 +176,25 @@ def verdict(size: int, adjust: float, max_k: int = 4) -> str:
             f"CAST({nb} AS BIGINT) AS n_border, CAST({bad} AS BIGINT) AS n_border_frequent")
 
 
+def monotonicity_k4() -> str:
+    """4-sets of two frequent 3-sets that share two items, with all four 3-subsets frequent."""
+    subs = [[f"g.item{i}" for i in range(1, 5) if i != j] for j in range(1, 5)]
+    tests = " AND ".join("EXISTS (SELECT 1 FROM l3 z WHERE " + " AND ".join(f"z.item{p} = {c}" for p, c in enumerate(cols, 1)) + ")"
+                         for cols in subs)
+    return (f"WITH b AS ({BRAND_B}), l3 AS ({lvl(3, BRAND_T)}), g AS (SELECT a.item1, a.item2, a.item3, c.item3 AS item4 "
+            f"FROM l3 a JOIN l3 c ON a.item1 = c.item1 AND a.item2 = c.item2 AND a.item3 < c.item3) "
+            f"SELECT * FROM g WHERE {tests}")
+
+
+def drawn() -> str:
+    """CTEs: b, and d (basket, draws) of seeded draws with replacement."""
+    return (f"WITH b AS ({BRAND_B}), p AS (SELECT basket, row_number() OVER (ORDER BY basket) AS place "
+            f"FROM (SELECT DISTINCT basket FROM b)), n AS (SELECT count(*) AS n FROM p), "
+            f"w AS (SELECT CAST('0x' || substr(md5('{TOI_SEED}:' || CAST(i AS VARCHAR)), 1, 15) AS BIGINT) % n + 1 AS place "
+            f"FROM range({TOI_SIZE}) t(i) CROSS JOIN n), "
+            f"d AS (SELECT basket, count(*) AS draws FROM w JOIN p ON p.place = w.place GROUP BY basket)")
+
+
 # -- everything ---------------------------------------------------------------------
 
 def build() -> dict[str, str]:
@@ -222,6 +241,8 @@ def build() -> dict[str, str]:
                                f"JOIN l2 c ON c.item1 = a.item1 AND a.item2 < c.item2 "
                                f"JOIN l2 d ON d.item1 = a.item2 AND d.item2 = c.item2"),
         "pcy_bitmap_filter": pcy_bitmap_filter(),
+        "pcy_bitmap_packed": pcy_bitmap_filter(),
+        "monotonicity_prune_k4": monotonicity_k4(),
         "join_inner": ("SELECT l_orderkey AS basket, l_suppkey AS item FROM lineitem "
                        "JOIN orders ON l_orderkey = o_orderkey "
                        "WHERE o_orderstatus = 'F' AND l_returnflag IN ('A', 'R')"),
@@ -264,6 +285,9 @@ def build() -> dict[str, str]:
                           f"ORDER BY support DESC, item1, item2 LIMIT {TOP_N}"),
         "sample_exact": (f"WITH b AS ({BRAND_B}) SELECT basket FROM (SELECT DISTINCT basket FROM b) "
                          f"ORDER BY md5('{TOI_SEED}:' || CAST(basket AS VARCHAR)), basket LIMIT {TOI_SIZE}"),
+        "sample_with_replacement": f"{drawn()} SELECT basket, draws FROM d",
+        "weighted_support": (f"{drawn()} SELECT item1, item2, CAST(sum(draws) AS BIGINT) AS support "
+                             f"FROM ({occ(2)}) o JOIN d ON d.basket = o.basket GROUP BY item1, item2"),
         "son_candidates_k2": son_candidates(2),
         "son_candidates_k3": son_candidates(3),
         "toivonen_verdict": verdict(TOI_SIZE, TOI_ADJUST),
@@ -288,6 +312,10 @@ def build() -> dict[str, str]:
         "pcy_k3": l3,
         "son_k2": l2,
         "son_k3": l3,
+        "apriori_basket_scan_k2": l2,
+        "apriori_basket_scan_k3": l3,
+        "son_two_pass_k2": l2,
+        "son_two_pass_k3": l3,
         "toivonen_k2": level_sql(BRAND_B, BRAND_T, 2),
         "toivonen_k3": level_sql(BRAND_B, BRAND_T, 3),
     }

@@ -11,8 +11,8 @@ Level k+1 then keeps a candidate only if all its k-subsets are frequent
 hashed extensions (each extends an occurrence of a frequent k-set), so its
 bucket count is at least its support.
 
-Parameters are explicit (``buckets``, ``hash_functions``); the bitmap
-tables have at most ``buckets`` rows per hash, a fixed broadcast bound.
+Parameters are explicit (``buckets``, ``hash_functions``); the bitmaps are
+packed, an eighth of a byte a bucket and hash, a fixed broadcast bound.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.hashing import DEFAULT_HASHES, HashFn
 from basketry.operators.aggregates import bucket_counts
-from basketry.operators.candidates import bitmap_filter
+from basketry.operators.candidates import packed_bitmaps, packed_filter
 from basketry.functions.columns import item_cols
 from basketry.operators.joins import extend_occurrences, semi_join
 from basketry.plans.levels import CandidateFilter, Level
@@ -52,6 +52,7 @@ class PCYMiner(ScanMiner):
         self.hash_functions = tuple(hash_functions) if self.buckets else ()
         self.bucket_tables: dict[int, DataFrame] = {}   # k -> (hash_id, bucket, n) of (k)-sets
         self.bitmaps: dict[int, DataFrame] = {}          # k -> frequent (hash_id, bucket)
+        self.packed: dict[int, DataFrame] = {}           # the same as packed bitmaps
         self.extensions: dict[int, DataFrame] = {}       # k -> occurrences of k-sets, unpruned
 
     def after_level(self, level: Level, cand: DataFrame) -> None:
@@ -62,8 +63,7 @@ class PCYMiner(ScanMiner):
         self.extensions[k + 1] = ext
         counts = self.store.write(bucket_counts(ext, k + 1, self.hash_functions, self.buckets),
                                   f"buckets{k + 1}")
-        self.bucket_tables[k + 1] = counts
-        self.bitmaps[k + 1] = counts.where(F.col("n") >= self.threshold).select("hash_id", "bucket")
+        self._keep_buckets(k + 1, counts)
 
     def after_reuse(self, level: Level) -> bool:
         if not self.hash_functions or not level.n or self._last(level.k):
@@ -73,10 +73,14 @@ class PCYMiner(ScanMiner):
             return False
         self.extensions[level.k + 1] = self.store.read(ext)
         counts = self.store.read(name)
-        self.bucket_tables[level.k + 1] = counts
-        self.bitmaps[level.k + 1] = counts.where(F.col("n") >= self.threshold).select("hash_id", "bucket")
+        self._keep_buckets(level.k + 1, counts)
         return True
 
+    def _keep_buckets(self, k: int, counts: DataFrame) -> None:
+        self.bucket_tables[k] = counts
+        self.bitmaps[k] = counts.where(F.col("n") >= self.threshold).select("hash_id", "bucket")
+        self.packed[k] = packed_bitmaps(counts, self.threshold)
+
     def candidates(self, k: int, prev: Level) -> DataFrame:
         """P9 (via the basket-scan candidate table) then P10 on the
         occurrence rows: the bitmap join is a broadcast of a bounded table,
@@ -87,7 +91,7 @@ class PCYMiner(ScanMiner):
         if k > 2:
             ck, n = self.candidate_table(k, prev)
             cand = semi_join(cand, ck, item_cols(k), n)
-        return bitmap_filter(cand, k, self.bitmaps[k], self.hash_functions, self.buckets)
+        return packed_filter(cand, k, self.packed[k], self.hash_functions, self.buckets)
 
 
 def pcy(baskets: Baskets, threshold: int, buckets: int = 10007,

@@ -24,12 +24,13 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import BASKET, CHUNK, SUPPORT, item_cols
+from basketry.functions.columns import BASKET, CHUNK, ITEM, SUPPORT, item_cols
 from basketry.operators.aggregates import chunk_sizes, count_support, support_filter
 from basketry.operators.joins import broadcast_if_small, extend_occurrences
 from basketry.plans.levels import CandidateFilter, Level
 from basketry.plans.scan import ScanMiner
 from basketry.plans.transactions import Baskets
+from basketry.plans.tree import Tree, count
 
 ChunkFn = Callable[[Column], Column]
 
@@ -103,6 +104,86 @@ class SONMiner(ScanMiner):
         return support_filter(self.candidate_counts[k], self.threshold)
 
 
+class TwoPassSON(SONMiner):
+    """SON in two passes over the transactions, whatever the depth.
+
+    Pass 1 mines every chunk for itself, all chunks in one level loop: the
+    state is keyed by chunk, L_{k-1} of a chunk being the itemsets that are
+    frequent *in that chunk*, and its own occurrences are extended.  Pass 2
+    counts the union of all chunks' itemsets, of all sizes, in one walk of the
+    full data down their prefix tree.  ``local`` is the grouped miner (X4):
+    (miner, k, candidate occurrences) -> (chunk, item1..itemk) of the itemsets
+    that are frequent in their chunk; any other must return a superset of them
+    for k = 1, 2, ... and keep every prefix."""
+
+    name = "son_two_pass"
+
+    def __init__(self, baskets: Baskets, threshold: int, chunks: int | ChunkFn = 5, max_k: int | None = None,
+                 tag: str | None = None, local: Callable[["TwoPassSON", int, DataFrame], DataFrame] | None = None):
+        label = f"{chunks}" if isinstance(chunks, int) else hashlib.sha1(str(chunks(F.col(BASKET))).encode()).hexdigest()[:8]
+        super().__init__(baskets, threshold, chunks, "prefix", max_k, tag or f"son_two_pass-t{threshold}-c{label}-k{max_k}")
+        self.local = local or local_counts
+        # a user's miner has no identity, so its results are not reused
+        self.keeps = self.shared and local is None
+
+    def _step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return self.store.read(name) if self.keeps and self.store.complete(name) else self.store.write(make(), name)
+
+    def mine_chunks(self) -> dict[int, DataFrame]:
+        """Pass 1: {k: (chunk, item1..itemk)} of every chunk."""
+        out: dict[int, DataFrame] = {}
+        occ, k = self.b.df.withColumnRenamed(ITEM, "item1"), 1
+        while True:
+            cand = occ if k == 1 else extend_occurrences(occ, k)
+            found = self._step(f"local{k}", lambda: self.local(self, k, cand))
+            n = found.count()
+            if not n:
+                return out
+            out[k] = found
+            if self._last(k):
+                return out
+            key = found.withColumnRenamed(CHUNK, "_chunk")
+            same = [F.col(c) == F.col(f"_{c}") for c in item_cols(k)]
+            key = broadcast_if_small(key.select("_chunk", *[F.col(c).alias(f"_{c}") for c in item_cols(k)]), n)
+            chunk = self.chunk_fn(F.col(BASKET)).eqNullSafe(F.col("_chunk"))
+            held = cand.join(key, [chunk, *same], "left_semi").select(*cand.columns)
+            # level 1 is a filter of the transactions; deeper occurrences are kept
+            occ = held if k == 1 else self._step(f"occ{k}", lambda: held)
+            k += 1
+
+    def levels(self) -> Iterator[Level]:
+        union = {k: self._step(f"son_candidates{k}", lambda: d.select(*item_cols(k)).distinct())
+                 for k, d in self.mine_chunks().items()}
+        self.son_candidates = union
+        if union:
+            tree = Tree.build(union, self.store, "union")
+            counts = self._step("counts", lambda: count(self.b, tree, max(union)))
+        for k in [*sorted(union), max(union, default=0) + 1]:
+            if k in union:
+                lk = support_filter(tree.by_items(counts, k), self.threshold)
+            else:
+                if self.max_k is not None and k > self.max_k:
+                    return
+                lk = self._empty(k)
+            lk = self._step(f"L{k}", lambda: lk)
+            level = Level(k, lk, lk.count(), None)
+            self.history.append(level)
+            yield level
+            if not level.n:
+                return
+
+    def _empty(self, k: int) -> DataFrame:
+        item = dict(self.b.df.dtypes)[ITEM]
+        cols = [F.lit(None).cast(item).alias(c) for c in item_cols(k)]
+        return self.b.spark_empty(cols + [F.lit(0).cast("bigint").alias(SUPPORT)])
+
+
+def local_counts(miner: TwoPassSON, k: int, cand: DataFrame) -> DataFrame:
+    """The itemsets that are frequent in their chunk: one aggregate a level."""
+    per_chunk = count_support(cand.withColumn(CHUNK, miner.chunk_fn(F.col(BASKET))), k, [CHUNK])
+    return miner.flag_local(per_chunk).where("_local").select(CHUNK, *item_cols(k))
+
+
 def son(baskets: Baskets, threshold: int, chunks: int | ChunkFn = 5, prune: str = "full",
         max_k: int | None = None) -> Iterator[Level]:
     return SONMiner(baskets, threshold, chunks, prune, max_k).levels()

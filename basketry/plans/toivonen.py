@@ -13,9 +13,11 @@ sample (seed + 1), up to ``max_iterations`` attempts.
   in the sample.  At level 2 that is every pair of sample-frequent items: the
   pairs that occur in the full data are listed, and the others, whose support
   is 0, only counted: n(n-1)/2 - |S_2| in all.
-* Full count: level k counts the occurrences of apriori-gen(S_{k-1}) in the
-  full data: extensions of occurrences of S_{k-1}, for k >= 3 semi-joined to
-  the candidate table.  Sets that never occur cannot be frequent.
+* Full count: one pass over the full data counts all levels at once, by a walk
+  of the baskets down the prefix tree of S_1, S_2 and apriori-gen(S_{k-1}),
+  k >= 3 (``plans.tree``).  Sets that never occur cannot be frequent.
+* Reuse (S10): over baskets prepared with ``reuse`` every step of an attempt
+  (sample, sample levels, candidates, full counts) is picked up if it is there.
 * Verdict: success iff no border set has support >= threshold.  Then L_k is
   the sample-frequent sets whose full support reaches the threshold.
 """
@@ -23,6 +25,7 @@ sample (seed + 1), up to ``max_iterations`` attempts.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from fractions import Fraction
@@ -37,6 +40,8 @@ from basketry.operators.joins import anti_join, extend_occurrences, semi_join
 from basketry.operators.sampling import sample_baskets
 from basketry.plans.levels import CandidateFilter, Level, LevelMiner
 from basketry.plans.transactions import Baskets
+from basketry.plans.tree import Tree, count
+from basketry.sources.store import Store
 
 
 def sample_threshold(threshold: int, adjust: float, sample_n: int, n: int) -> int:
@@ -88,45 +93,35 @@ class Toivonen:
         self.max_iterations = int(max_iterations)
         self.max_k = max_k
         self.candidate_filter = candidate_filter
-        self.store = baskets.store.child(f"toivonen-t{threshold}-s{size}-a{adjust}-{uuid.uuid4().hex[:8]}")
+        # An attempt's steps are keyed by all that determines them; a
+        # user's filter has no identity, so such a run shares nothing
+        self.shared = baskets.reuse and candidate_filter is None
+        name = f"toivonen-t{threshold}-s{size}-a{adjust}-k{max_k}"
+        self.store = baskets.store.child(name if self.shared else f"{name}-{uuid.uuid4().hex[:8]}")
+
+    def _step(self, store: Store, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A written table of the attempt: picked up if an earlier run finished it."""
+        return store.read(name) if self.shared and store.complete(name) else store.write(make(), name)
 
     def attempt(self, seed: int) -> Attempt:
         store = self.store.child(f"seed{seed}")
         n = self.b.n_baskets()
-        keys = store.write(sample_baskets(self.b.df, self.size, seed), "sample_keys")
+        keys = self._step(store, "sample_keys", lambda: sample_baskets(self.b.df, self.size, seed))
         sample_n = keys.count()
-        sample = Baskets(store.write(semi_join(self.b.df, keys, ["basket"], sample_n), "sample_tx"),
-                         store, self.b.hot_items, self.b.n_hot)
+        tx = self._step(store, "sample_tx", lambda: semi_join(self.b.df, keys, ["basket"], sample_n))
+        sample = Baskets(tx, store, self.b.hot_items, self.b.n_hot, reuse=self.shared)
         st = sample_threshold(self.threshold, self.adjust, sample_n, n)
         s_levels = list(LevelMiner(sample, st, self.max_k, tag="sample",
                                    candidate_filter=self.candidate_filter).levels())
         t = self.threshold
 
-        border: dict[int, DataFrame] = {}
-        full: dict[int, DataFrame] = {}
-        # level 1: every item of the full data is counted
-        occ0 = self.b.df.withColumnRenamed(ITEM, "item1")
+        count_all = self._count_once if self.candidate_filter is None else self._count_by_level
+        counted, border = count_all(store, s_levels)
+        full = {k: self._kinds(c, s_levels[k - 1], k) for k, c in counted.items()}
         s1 = s_levels[0]
-        c1 = store.write(count_support(occ0, 1), "full1")
-        full[1] = self._kinds(c1, s1, 1)
-        border[1] = anti_join(c1.select("item1"), s1.itemsets, ["item1"], s1.n)
-        occ_prev = semi_join(occ0, s1.itemsets, ["item1"], s1.n)
-        for prev, cur in zip(s_levels, s_levels[1:]):
-            k = cur.k
-            if prev.n == 0:
-                break
-            cand = extend_occurrences(occ_prev, k)
-            if k > 2:
-                ck = store.write(apriori_gen(prev.itemsets, k, prev.n), f"gen{k}")
-                border[k] = anti_join(ck, cur.itemsets, item_cols(k), cur.n)
-                cand = semi_join(cand, ck, item_cols(k), ck.count())
-            if self.candidate_filter is not None:
-                cand = self.candidate_filter(cand, k)
-            cand = store.write(cand, f"full_occ{k}")
-            full[k] = self._kinds(store.write(count_support(cand, k), f"full{k}"), cur, k)
-            if k == 2:
-                border[2] = full[2].where(F.col("kind") == "border").select(*item_cols(2))
-            occ_prev = semi_join(cand, cur.itemsets, item_cols(k), cur.n)
+        border[1] = anti_join(counted[1].select("item1"), s1.itemsets, ["item1"], s1.n)
+        if 2 in full:
+            border[2] = full[2].where(F.col("kind") == "border").select(*item_cols(2))
 
         # one job each: the per-level frames are unioned before counting
         n_border = reduce(DataFrame.unionByName,
@@ -138,6 +133,51 @@ class Toivonen:
                         for k, f in full.items()]).count()
         return Attempt(seed, sample_n, st, s_levels, border, full, n_border, n_bad)
 
+    def _generated(self, store: Store, s_levels: list[Level]) -> Iterator[tuple[Level, Level, DataFrame | None]]:
+        """(sample level k - 1, sample level k, apriori-gen of the former; none for pairs)."""
+        for prev, cur in zip(s_levels, s_levels[1:]):
+            if prev.n == 0:
+                return
+            k = cur.k
+            yield prev, cur, None if k == 2 else self._step(
+                store, f"gen{k}", lambda: apriori_gen(prev.itemsets, k, prev.n))
+
+    def _count_once(self, store: Store, s_levels: list[Level]) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
+        """Full counts of all levels in one pass over the full data: a walk
+        down the prefix tree of all sample-frequent and border sets.  Every item
+        and every pair of sample-frequent items is counted; from level 3 the
+        candidates are the tree's level."""
+        border: dict[int, DataFrame] = {}
+        frames, depth = {1: s_levels[0].itemsets.select("item1")}, 1
+        for _, cur, gen in self._generated(store, s_levels):
+            depth = cur.k
+            frames[depth] = cur.itemsets.select(*item_cols(depth)) if gen is None else gen
+            if gen is not None:
+                border[depth] = anti_join(gen, cur.itemsets, item_cols(depth), cur.n)
+        # ids of the tree's nodes stand in the counts, so both are made together
+        done = self.shared and store.complete("full_counts")
+        tree = Tree.reread(store, len(frames)) if done else Tree.build(frames, store)
+        counts = self._step(store, "full_counts", lambda: count(self.b, tree, depth, free=(2,), all_items=True))
+        return {k: tree.by_items(counts, k) for k in range(1, depth + 1)}, border
+
+    def _count_by_level(self, store: Store, s_levels: list[Level]) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
+        """The same with a user's filter, which sees occurrences: level by level."""
+        border: dict[int, DataFrame] = {}
+        s1 = s_levels[0]
+        occ = self.b.df.withColumnRenamed(ITEM, "item1")
+        counted = {1: store.write(count_support(occ, 1), "full1")}
+        occ = semi_join(occ, s1.itemsets, ["item1"], s1.n)
+        for _, cur, gen in self._generated(store, s_levels):
+            k = cur.k
+            cand = extend_occurrences(occ, k)
+            if gen is not None:
+                border[k] = anti_join(gen, cur.itemsets, item_cols(k), cur.n)
+                cand = semi_join(cand, gen, item_cols(k), gen.count())
+            cand = store.write(self.candidate_filter(cand, k), f"full_occ{k}")
+            counted[k] = store.write(count_support(cand, k), f"full{k}")
+            occ = semi_join(cand, cur.itemsets, item_cols(k), cur.n)
+        return counted, border
+
     @staticmethod
     def _kinds(counts: DataFrame, sample_level: Level, k: int) -> DataFrame:
         tagged = sample_level.itemsets.select(*item_cols(k), F.lit("frequent").alias("kind"))

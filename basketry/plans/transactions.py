@@ -112,6 +112,10 @@ class Baskets:
         """Delete every table of these baskets and of the runs over them."""
         self.store.clear()
 
+    def spark_empty(self, columns: list[Column]) -> DataFrame:
+        """No rows with these columns."""
+        return self.df.sparkSession.range(0).select(*columns)
+
     def n_baskets(self) -> int:
         if self._n_baskets is None:
             self._n_baskets = self.df.select(BASKET).distinct().count()
