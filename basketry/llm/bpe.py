@@ -34,13 +34,16 @@ from basketry.llm.pretokens import (
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
-           keep_text: bool = False, most: int = FREQUENT) -> DataFrame:
-    """``docs`` with the ids of ``text_col``; the text itself only if asked for."""
+           keep_text: bool = False, most: int = FREQUENT, decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with the ids of ``text_col``; the text itself only if asked
+    for, and in ``decoded_col`` what the ids decode to.  Decoding in the same
+    step spares a task a second Python worker."""
     spark = docs.sparkSession
     vocabulary = Vocabulary(spark, path)
     known = KnownWords(spark, frequent_words(docs, vocabulary, text_col, most))
     # a null text that is kept becomes the empty one
-    names = [c for c in docs.columns if c not in (ids_col, text_col)]
+    names = [c for c in docs.columns if c not in (ids_col, text_col, decoded_col)]
+    spelled = spark.sparkContext.broadcast(pieces(path)) if decoded_col else None  # (id, piece), fixed by the file
 
     def rare_words(batches):
         table = known.read()
@@ -69,18 +72,19 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
         import zstandard
 
         z, table = zstandard.ZstdDecompressor(), known.read()
+        piece = pa.array(spelled.value, pa.large_binary()) if decoded_col else None
         for b in batches:
             at = b.schema.get_field_index("_bpe_text")
             for k in range(0, b.num_rows, 100):  # unpacked texts and their ids are held
                 part = b.slice(k, 100)
                 texts = pa.array([z.decompress(x) for x in part.column(at).to_pylist()], pa.binary()).cast(pa.string())
                 for own in text_slices(part.set_column(at, "_bpe_text", texts), at):
-                    yield _with_ids(own, vocabulary, table, ids_col, text_col if keep_text else None)
+                    out = _with_ids(own, vocabulary, table, ids_col, text_col if keep_text else None)
+                    yield out.append_column(decoded_col, decoded(out.column(out.num_columns - 1), piece)) if decoded_col else out
 
     key = F.xxhash64(text_of(text_col)).alias("_bpe_key")
-    # copies of a text have one key; their other columns tell their long words apart
-    other = [F.col(c) for c in names if not any(x in docs.schema[c].dataType.simpleString() for x in ("map<", "variant"))]
-    cell = F.pmod(F.xxhash64(*other), F.lit(LONG_SPLIT)).cast("int") if other else F.lit(0)
+    # which of its cells a long word's row is in goes by the row's place: equal rows are spread too
+    cell = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(LONG_SPLIT)).cast("int")
     rare = (docs.select(key.alias("key"), text_of(text_col).alias("text"), cell.alias("cell"))
             .mapInArrow(rare_words, "key long, word string, cell int"))
     # an entry is its ids, a blank and the word: half of what a struct of them takes in a shuffle
@@ -88,11 +92,12 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     rare = encode_rare(rare, vocabulary, "cell").groupBy("key").agg(F.collect_set(entry).alias("_bpe_rare"))
     d = docs.select(*names, key, text_of(text_col).alias("_bpe_text"))
     d = d.mapInArrow(pack, d.drop("_bpe_text").withColumn("_bpe_text", F.lit(b"")).schema)
-    d = d.join(rare.withColumnRenamed("key", "_bpe_key").hint("shuffle_hash"), "_bpe_key", "left")
+    d = d.join(rare.withColumnRenamed("key", "_bpe_key"), "_bpe_key", "left")
     out = d.drop("_bpe_key", "_bpe_text", "_bpe_rare")
     if keep_text:
         out = out.withColumn(text_col, F.lit(""))
-    return d.mapInArrow(join_ids, out.withColumn(ids_col, F.array(F.lit(0))).schema)
+    out = out.withColumn(ids_col, F.array(F.lit(0)))
+    return d.mapInArrow(join_ids, (out.withColumn(decoded_col, F.lit("")) if decoded_col else out).schema)
 
 
 def _with_ids(own: pa.RecordBatch, vocabulary: Vocabulary, known: KnownWords, ids_col: str,
@@ -140,6 +145,20 @@ def pieces(path: str) -> list[bytes]:
     return [table.get(i, b"") for i in range(max(table) + 1)]
 
 
+def decoded(ids: pa.Array, piece: pa.Array) -> pa.Array:
+    """The texts of lists of ids; bytes that are no UTF-8 become U+FFFD."""
+    texts = []
+    for s in slices(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)):
+        own = ids.slice(s.start, s.stop - s.start)
+        n = pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False)
+        found = piece.take(own.flatten())
+        place = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, 8 * found.offset)
+        data = memoryview(found.buffers()[2]) if len(found) else b""
+        ends = place[np.append(0, np.cumsum(n))]
+        texts += [str(data[x:y], "utf-8", "replace") for x, y in zip(ends[:-1], ends[1:], strict=True)]
+    return pa.array(texts, pa.string())
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids; bytes that are no UTF-8 become U+FFFD."""
     spark = df.sparkSession
@@ -147,20 +166,11 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     names = [c for c in df.columns if c != out_col]
 
     def join_pieces(batches):
-        table = pa.array(vocabulary.value, pa.large_binary())
+        piece = pa.array(vocabulary.value, pa.large_binary())
         for b in batches:
             ids = b.column(b.schema.get_field_index(ids_col))
-            texts = []
-            for s in slices(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)):
-                own = ids.slice(s.start, s.stop - s.start)
-                n = pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False)
-                found = table.take(own.flatten())
-                place = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, 8 * found.offset)
-                data = found.buffers()[2].to_pybytes() if len(found) else b""
-                ends = place[np.append(0, np.cumsum(n))]
-                texts += [data[x:y].decode("utf-8", "replace") for x, y in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_pydict({c: b.column(b.schema.get_field_index(c)) for c in names}
-                                             | {out_col: pa.array(texts, pa.string())})
+                                             | {out_col: decoded(ids, piece)})
 
     d = df.select(*names)
     return d.mapInArrow(join_pieces, d.withColumn(out_col, F.lit("")).schema)

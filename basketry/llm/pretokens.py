@@ -155,6 +155,21 @@ def slices(lengths: np.ndarray, most: int = SLICE) -> Iterator[slice]:
         yield slice(int(a), int(b))
 
 
+def segments(text: bytes, most: int = SLICE) -> list[bytes]:
+    """``text`` in parts of about ``most`` bytes, cut where a space follows a
+    character that is no white space; there a pre-token always ends."""
+    out, begin = [], 0
+    while len(text) - begin > most:
+        at = text.find(b" ", begin + most)
+        while at >= 0 and text[max(at - 4, begin):at].decode("utf-8", "ignore")[-1:].isspace():
+            at = text.find(b" ", at + 1)
+        if at < 0:
+            break
+        out.append(text[begin:at])
+        begin = at
+    return [*out, text[begin:]]
+
+
 def special_tokens(path: str) -> tuple[str, ...]:
     import json
 
@@ -181,7 +196,18 @@ class Vocabulary:
         self._file = spark.sparkContext.broadcast(file_bytes(path))
 
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-        return split(texts.to_pylist(), self.special, np.frombuffer(self._classes.value, np.uint8))
+        """``split`` of a slice of texts; longer texts in segments, so that no
+        array has more than about SLICE elements but the words' own."""
+        classes = np.frombuffer(self._classes.value, np.uint8)
+        rows = texts.to_pylist()
+        if sum(map(len, rows)) <= 2 * SLICE or any(" " in s for s in self.special):
+            return split(rows, self.special, classes)
+        counts, words = [], []
+        for t in rows:
+            own = [split([x.decode()], self.special, classes) for x in segments(t.encode())]
+            counts.append(sum(int(n[0]) for n, _ in own))
+            words += [w for _, w in own]
+        return np.array(counts, np.int64), pa.concat_arrays(words)
 
     def encoder(self):
         import os

@@ -40,12 +40,10 @@ def piece_model() -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary()
-    d = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    d = d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                 F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
-    d = bpe.decode(d, path)
-    return d.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    d = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), decoded_col="decoded")
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,10 +44,8 @@ from pyspark.sql import functions as F
 
 from basketry.llm.bpe import pieces
 from basketry.llm.common import Store, arrow_batches, text_of
-from basketry.llm.pretokens import char_classes, file_bytes, split
+from basketry.llm.pretokens import SLICE, char_classes, file_bytes, segments, split
 
-#: Bytes of text that are aligned at a time.
-SLICE = 1 << 18
 #: Pairs whose counts are broadcast, at most.
 FREQUENT = 1 << 19
 #: Ids that a task remembers for each tokenizer, about.
@@ -91,21 +89,6 @@ def shared_cuts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(np.concatenate(cuts)), np.sort(np.concatenate(b_cuts))
 
 
-def segments(text: bytes, most: int = SLICE) -> list[bytes]:
-    """``text`` in parts of about ``most`` bytes, cut where a space follows a
-    character that is no white space."""
-    out, begin = [], 0
-    while len(text) - begin > most:
-        at = text.find(b" ", begin + most)
-        while at >= 0 and text[max(at - 4, begin):at].decode("utf-8", "ignore")[-1:].isspace():
-            at = text.find(b" ", at + 1)
-        if at < 0:
-            break
-        out.append(text[begin:at])
-        begin = at
-    return [*out, text[begin:]]
-
-
 class Tokenizers:
     """Both tokenizers, for tasks: their files, broadcast (of fixed size)."""
 

@@ -109,3 +109,20 @@ def test_split_of_random_texts(library):
         pieces = [p for i, x in enumerate(plain) for p in ([] if i == 0 else ["<|endoftext|>"]) + [
             x[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(x)]]
         assert own == pieces
+
+
+def test_text_of_many_segments(spark):
+    """A text of 8 MB is split in segments; ids and decoded text are the library's."""
+    from tokenizers import Tokenizer
+
+    from basketry.llm import bpe, pretokens
+    from basketry.llm.queries import vocabulary
+
+    text = " ".join(f"word{i % 911} 's<|endoftext|>{'  ' * (i % 3)}thing é{i}\n" for i in range(230_000))
+    assert len(text) > 20 * pretokens.SLICE
+    got = bpe.encode(spark.createDataFrame([(1, text), (2, "short one")], "doc_id long, text string"), vocabulary(),
+                     decoded_col="decoded").orderBy("doc_id").collect()
+    t = Tokenizer.from_file(vocabulary())
+    for r, x in zip(got, (text, "short one"), strict=True):
+        ids = t.encode(x, add_special_tokens=False).ids
+        assert r["ids"] == ids and r["decoded"] == t.decode(ids, skip_special_tokens=False)
