@@ -58,8 +58,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether they decode to its text."""
-    path = vocabulary()
-    d = bpe.decode(bpe.encode(docs, path, keep_text=True), path)
+    d = bpe.encode(docs, vocabulary(), keep_text=True, decoded_col="decoded")
     return d.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"),
                     (F.col("decoded") == F.col("text")).alias("round_trip"))
 
