@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import Store, arrow_batches, text_of
 from basketry.llm.components import components
-from basketry.operators.bitmaps import SEGMENT, packed
+from basketry.operators.bitmaps import SEGMENT, has_bit, packed
 from basketry.sources.store import delete_path
 
 SHINGLE = 5
@@ -246,6 +246,18 @@ def _place(key: Column, k: int, bits: int) -> Column:
     return F.pmod(F.conv(F.hex(F.substring(key, 4 * k + 1, 4)), 16, 10).cast("long"), F.lit(bits))
 
 
+def standing_in(pairs: DataFrame, sets: DataFrame, bloom: int) -> DataFrame:
+    """The sets that stand in the pairs, and few others: a packed bitmap of
+    hashed set numbers (bloom / 8 bytes at most, broadcast) is asked before
+    anything of a set is shuffled; the joins after it are exact."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set"))
+    bits = max(SEGMENT, min(bloom, 1 << (32 * pairs.count()).bit_length()))
+    place = F.pmod(F.xxhash64("set"), F.lit(bits))
+    filled = packed(ends.select(place.alias("place")), "place")
+    d = sets.select("*", place.alias("_at")).withColumn("segment", F.floor(F.col("_at") / SEGMENT))
+    return d.join(F.broadcast(filled), "segment").where(has_bit(F.col("bits"), F.col("_at"))).select(*sets.columns)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of sets, those that link."""
     x = sets.select(F.col("set").alias("a"), F.col("shingles").alias("_x"))
@@ -299,7 +311,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
         each = held.groupBy("group", "class").agg(F.min("set").alias("set"))
         placed = store.write(lists.join(each, "group"), f"placed{k}")
         pairs = _pivot_pairs(placed, each, percent) if k < rounds else _open_pairs(placed, each, held, percent)
-        new = store.write(verified(store.write(pairs, f"pairs{k}"), whole, percent), f"links{k}")
+        pairs = store.write(pairs, f"pairs{k}")
+        new = store.write(verified(pairs, standing_in(pairs, whole, bloom), percent), f"links{k}")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             roots = store.write(_roots(wanted, links), f"roots{k}")
