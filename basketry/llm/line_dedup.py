@@ -73,11 +73,15 @@ def _runs_of(p: Column, min_words: int) -> Column:
     left = F.transform(p["words"], lambda _, i: let(
         _grown(F.reverse(F.slice(p["words"], F.greatest(i + 2 - min_words, F.lit(1)), F.least(i + 1, F.lit(min_words)))),
                min_words), lambda n: F.struct((i + 2 - n).alias("from"), n.alias("n"))))
-    grown = F.array_distinct(F.filter(F.concat(right, left), lambda r: r["n"].isNotNull()))
-    part = lambda name, r: F.slice(p[name], r["from"], r["n"])
+    # as one long each: array_distinct hashes longs, but compares all pairs of structs
+    coded = F.transform(F.concat(right, left), lambda r: F.shiftleft(r["from"].cast("long"), 32) + r["n"])
+    grown = F.array_distinct(F.filter(coded, lambda r: r.isNotNull()))
+    begin = lambda r: F.shiftright(r, 32).cast("int")
+    size = lambda r: r.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    part = lambda name, r: F.slice(p[name], begin(r), size(r))
     return F.transform(grown, lambda r: F.struct(
         F.array_min(part("hash", r)).alias("fp"), F.unhex(F.md5(F.array_join(part("md5", r), ""))).alias("run"),
-        F.get(p["at"], r["from"] - 1).alias("first"), F.get(p["at"], r["from"] + r["n"] - 2).alias("last")))
+        F.get(p["at"], begin(r) - 1).alias("first"), F.get(p["at"], begin(r) + size(r) - 2).alias("last")))
 
 
 def repeated(r: DataFrame) -> DataFrame:

@@ -41,6 +41,8 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 ORDER = 5
 #: Stands before the first character of a URL.
 PAD = "\x02"
+#: Characters of a URL that are cut off at a time.
+PIECE = 1024
 ALPHABET = 0x110000
 FOLDS = 5
 BIN = 0.02
@@ -71,11 +73,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
 
 def grams(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """``urls`` (key, url, ...) exploded: one row per character, with the
-    ``order`` characters before it."""
+    ``order`` characters before it.  URLs are first cut into overlapping pieces,
+    as reading a character of a string walks the string from its start."""
     names = [c for c in urls.columns if c != "url"]
     padded = F.concat(F.lit(PAD * order), "url")
     n = F.length("url")
-    d = urls.where(n > 0).select(*names, padded.alias("p"), F.explode(F.sequence(F.lit(1), n)).alias("i"))
+    d = urls.where(n > 0).select(*names, padded.alias("p"), F.explode(F.sequence(F.lit(1), n, F.lit(PIECE))).alias("i"))
+    d = d.select(*names, F.substring("p", F.col("i"), PIECE + order).alias("p"))
+    d = d.select(*names, "p", F.explode(F.sequence(F.lit(1), F.length("p") - order)).alias("i"))
     return d.select(*names, F.substring("p", F.col("i"), order + 1).alias("gram"))
 
 

@@ -47,3 +47,13 @@ def test_tabbed_passage_goes_and_padded_line_stays(spark):
     got = [(r["n_deleted"], r["text"]) for r in got.orderBy("doc_id").collect()]
     gone = {1: 1, 3: 10}
     assert got == [(gone.get(i, 0), f"head {i}\ntail {i}" if i in gone else t) for i, t in docs]
+
+
+def test_document_of_many_lines(spark):
+    """30,000 lines in one document: the runs are told apart in linear time."""
+    from basketry.llm import line_dedup
+
+    lines = [f"line {i} has a few words of its own" for i in range(30_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["new start of words", *lines[100:140], "and an end"]))]
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["n_deleted"] == 0 and got[2]["n_deleted"] == 40 and got[2]["text"] == "new start of words\nand an end"

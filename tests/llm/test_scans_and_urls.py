@@ -145,3 +145,16 @@ def test_scores_against_plain_python(spark):
 
 def test_no_pages(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_grams_of_a_long_url(spark):
+    """A URL of 300,000 characters: one gram a character, in linear time."""
+    from collections import Counter
+
+    from basketry.llm import url_filter
+
+    url = "http://" + "".join(chr(97 + i * i % 23) for i in range(300_000))
+    d = url_filter.grams(spark.createDataFrame([(1, url)], "key long, url string"), 5)
+    padded = url_filter.PAD * 5 + url
+    want = Counter(padded[i:i + 6] for i in range(len(url)))
+    assert {r["gram"]: r["count"] for r in d.groupBy("gram").count().collect()} == want
