@@ -20,8 +20,9 @@ crowded cell nor a popular one grows a task; what stays is a block's k + 1
 best of each query.  Codebooks, cell sizes (at most K * K) and the tuning
 queries are broadcast; their sizes are parameters.
 
-Cases: vectors that are null, zero, not of the table's usual length, or hold
-null or non-finite components take no part; rows equal in id and vector count
+Cases: vectors that are null, zero, or hold null or non-finite components take
+no part, nor do vectors whose length is not the table's most frequent one: no
+inner product joins two lengths; rows equal in id and vector count
 once; null ids take no part; ties go to the smaller id; with fewer candidates
 than k all are returned; an empty table gives an empty one; other columns are
 not read.
@@ -89,6 +90,14 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def by_hash(vectors: DataFrame, rows: int, most: int) -> DataFrame:
+    """``most`` of the ``rows`` vectors by their hash.  The hash first keeps
+    little more than that, so that no task gets many rows to sort."""
+    share = min(1.0, 1.2 * most / max(rows, 1) + 1e-4) if rows > most else 1.0
+    h = F.pmod(F.xxhash64("v"), F.lit(1 << 30))
+    return vectors.where(h < int(share * (1 << 30)) + 1).orderBy(h, "v").limit(most).select("v")
+
+
 def best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the k best finite scores of each row, ties at the end kept."""
     if scores.shape[1] > k:
@@ -118,7 +127,7 @@ class MultiIndex:
         entries = (self.rows.withColumn("r", rank).where(F.col("r") <= k + 1)
                    .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
         entries = self.store.write(entries, "distinct")
-        points = entries.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(sample).toArrow()
+        points = by_hash(entries.select("v"), entries.count(), sample).toArrow()
         half = self.width // 2
         self.parts = ((slice(0, half), slice(half, self.width)))
         x = np.concatenate([matrix(c, self.width) for c in points.column("v").chunks]) if points.num_rows else np.zeros((0, 0))
@@ -145,9 +154,9 @@ class MultiIndex:
     def tuned(self, queries: DataFrame, recall: float, most: int) -> int:
         """The budget that finds ``recall`` of the true neighbours of at most
         ``most`` of the queries."""
-        own = queries.select("v").orderBy(F.xxhash64("v"), "v").limit(most).toArrow()
+        own = by_hash(queries.select("v"), queries.count(), most).toArrow()
         if not own.num_rows:
-            return 0
+            return self.k + 1
         q = np.concatenate([matrix(c, self.width) for c in own.column("v").chunks])
         held, width, k = self.spark.sparkContext.broadcast(q), self.width, self.k
 
@@ -166,7 +175,7 @@ class MultiIndex:
             d = -(self.books[0] @ q[i, self.parts[0]])[:, None] - (self.books[1] @ q[i, self.parts[1]])[None, :]
             for r in (r for r in true if r["q"] == i):
                 need.append(int(self.sizes[d < d[r["c1"], r["c2"]]].sum()) + 1)
-        return int(np.quantile(need, recall)) + 1
+        return max(int(np.quantile(need, recall)) + 1, self.k + 1)
 
     def probes(self, queries: DataFrame, budget: int) -> DataFrame:
         """(q, v, c1, cells): the second centroids that a query visits beside
@@ -190,7 +199,9 @@ class MultiIndex:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(c1, pa.int32()),
                                                   pa.array(cells, pa.list_(pa.int32()))], ["q", "v", "c1", "cells"])
 
-        return queries.select("q", "v").mapInArrow(run, "q long, v array<double>, c1 int, cells array<int>")
+        # a walk costs time, not bytes: as many tasks as a shuffle has, however small the table
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return queries.select("q", "v").repartition(tasks, "q").mapInArrow(run, "q long, v array<double>, c1 int, cells array<int>")
 
     def search(self, is_query: Column, recall: float = RECALL, tune: int = TUNE, block: int = BLOCK,
                budget: int | None = None) -> DataFrame:
