@@ -326,13 +326,14 @@ def look_up(words: pa.Array, known: KnownWords) -> tuple[np.ndarray, pa.Array, n
     return d.indices.to_numpy(zero_copy_only=False), distinct, known.places(distinct)
 
 
-def encode_rare(pairs: DataFrame, vocabulary: Vocabulary, split_by: str) -> DataFrame:
-    """``pairs`` (word, ...) with the word's ids: shuffled and sorted by word,
+def encode_rare(pairs: DataFrame, vocabulary: Vocabulary, split_by: str, count: bool = False) -> DataFrame:
+    """``pairs`` (word, ...) with the word's ``ids``, or only their number
+    ``n_ids`` with ``count``: shuffled and sorted by word,
     each distinct word of a batch is encoded once, and the last one's ids are
     held for the next batch.  A word longer than FREQUENT_BYTES is rare however
     often it stands, so its rows are split by the column ``split_by`` into at
     most LONG_SPLIT parts, each of which encodes it once."""
-    names = pairs.columns
+    names = [*pairs.columns, "n_ids" if count else "ids"]
 
     def run(batches):
         encoder, last, held = vocabulary.encoder(), None, None
@@ -344,8 +345,9 @@ def encode_rare(pairs: DataFrame, vocabulary: Vocabulary, split_by: str) -> Data
             ids = pa.concat_arrays([held, ids]) if known else ids
             if new:
                 last, held = new[-1], ids.slice(len(ids) - 1)
-            yield pa.RecordBatch.from_arrays([*b.columns, ids.take(d.indices)], [*names, "ids"])
+            out = pc.list_value_length(ids) if count else ids
+            yield pa.RecordBatch.from_arrays([*b.columns, out.take(d.indices)], names)
 
     cell = F.when(F.octet_length("word") > FREQUENT_BYTES, F.pmod(F.xxhash64(split_by), F.lit(LONG_SPLIT))).otherwise(0)
     d = pairs.repartition(F.col("word"), cell).sortWithinPartitions("word")
-    return d.mapInArrow(run, d.withColumn("ids", F.array(F.lit(0))).schema)
+    return d.mapInArrow(run, d.withColumn(names[-1], F.lit(0) if count else F.array(F.lit(0))).schema)

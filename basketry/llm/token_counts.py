@@ -56,8 +56,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     d = d.mapInArrow(frequencies, f"id {id_type.simpleString()}, n_bytes long, known long, "
                                   "rare array<struct<word:string,freq:long>>")
     d = keep(d.withColumn("row", F.monotonically_increasing_id()), "frequencies")
-    sums = (encode_rare(d.select("row", F.inline("rare")), vocabulary, "row")
-            .groupBy("row").agg(F.sum(F.col("freq") * F.size("ids")).alias("rest")))
+    sums = (encode_rare(d.select("row", F.inline("rare")), vocabulary, "row", count=True)
+            .groupBy("row").agg(F.sum(F.col("freq") * F.col("n_ids")).alias("rest")))
     n = F.col("known") + F.coalesce(F.col("rest"), F.lit(0))
     return (d.drop("rare").join(sums, "row", "left")
             .select(F.col("id").alias(id_col), "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit")))
