@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 
 import numpy as np
@@ -20,6 +21,81 @@ def nearest(rows, query, k):
     return scored[:k]
 
 
+def gram_places(text):
+    """The features of a text, from the definition."""
+    out, b = set(), (b" " + text.encode() + b" ") if text else b""
+    for n in quality_classifier.SIZES:
+        for i in range(len(b) - n + 1):
+            h = 0
+            for x in b[i:i + n]:
+                h = (h * 257 + x) % 2 ** 64
+            out.add(((h + n) * 0x9E3779B97F4A7C15 % 2 ** 64) >> (64 - quality_classifier.BITS))
+    words = text.split()
+    for k in (2, 3):
+        if any(len(set(words[i:i + k])) == 1 for i in range(len(words) - k + 1)):
+            out.add(k - 2)
+    return out
+
+
+def test_classifier_against_plain_python(spark):
+    """Ratios are exact; the loss is near the one that many rounds reach."""
+    rng = random.Random(5)
+    words = {0: "bad spam win cash prize now".split(), 1: "river stone cloud light grain shore".split()}
+    rows = [(i, " ".join(rng.choice(words[i % 2] if rng.random() < 0.7 else words[1 - i % 2]) for _ in range(12)), i % 2)
+            for i in range(120)] + [(200, "", 1), (201, None, 0)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality_classifier.train(d.select("doc_id", "text"), d.select("doc_id", "quality"))
+    known = sorted(((i, t or "", y) for i, t, y in rows if zlib.crc32(str(i).encode()) % quality_classifier.FOLDS))
+    places = [gram_places(t) for _, t, _ in known]
+    size = 1 << quality_classifier.BITS
+    count = {y: [1] * size for y in (0, 1)}
+    for (_, _, y), at in zip(known, places, strict=True):
+        for p in at:
+            count[y][p] += 1
+    total = {y: sum(count[y]) for y in count}
+    for p in set().union(*places):
+        assert model.ratio[p] == pytest.approx(math.log(count[1][p] / total[1]) - math.log(count[0][p] / total[0]), abs=1e-12)
+    x = [{p: model.ratio[p] for p in at} for at in places]
+    x = [{p: v / math.sqrt(sum(u * u for u in r.values()) + 1e-12) for p, v in r.items()} for r in x]
+    sign = [1 if y else -1 for _, _, y in known]
+
+    def loss(own, w, b):
+        return 0.5 * (sum(w.get(p, 0.0) ** 2 for p in w) + b * b) + sum(
+            max(0.0, 1 - s * (sum(w.get(p, 0.0) * v for p, v in r.items()) + b)) for r, s in zip(own, sign, strict=True))
+
+    rows_at = [np.array(sorted(at), dtype=np.int64) for at in places]
+    w, b, alpha = {}, 0.0, [0.0] * len(x)
+    for _ in range(200):
+        for i, r in enumerate(x):
+            square = sum(v * v for v in r.values()) + 1
+            slope = sign[i] * (sum(w.get(p, 0.0) * v for p, v in r.items()) + b) - 1
+            new = min(max(alpha[i] - slope / square, 0.0), 1.0)
+            step, alpha[i] = (new - alpha[i]) * sign[i], new
+            b += step
+            for p, v in r.items():
+                w[p] = w.get(p, 0.0) + step * v
+    # ten rounds come near on classes that overlap, many rounds reach it
+    for rounds, over in ((10, 1.05), (200, 1.0005)):
+        weights, bias = quality_classifier.descend(rows_at, np.array(sign, float), model.ratio, rounds=rounds)
+        near = {int(p): float(weights[p]) for p in np.flatnonzero(weights)}
+        assert loss(x, near, bias) <= over * loss(x, w, b)
+
+
+def test_packed_places():
+    for n in (0, 5, 8191, 8192, 100_000):
+        at = np.sort(np.random.default_rng(n).choice(1 << quality_classifier.BITS, n, replace=False))
+        b = quality_classifier.pack_places(at)
+        assert len(b) <= (1 << quality_classifier.BITS) // 8
+        assert (quality_classifier.Rows([b])[0] == at).all()
+
+
+def test_a_small_budget_still_finds_all(spark):
+    """Never fewer cells than k + 1 entries need."""
+    d = spark.range(400).selectExpr("id as vec_id", "array(cos(id), sin(id), cos(3 * id), sin(5 * id)) as embedding")
+    got = ann.neighbours(d, recall=0.0).groupBy("query_id").count().collect()
+    assert len(got) == 20 and all(r["count"] == 20 for r in got)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_neighbours_recall(spark, sf):
     d = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
