@@ -100,7 +100,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with repeated passages deleted from the text, ``n_lines`` (as it
     was) and ``n_deleted``."""
     names = [c for c in docs.columns if c not in RESULT]
-    marks = repeated(runs(docs, id_col, text_col, min_words))
+    # read twice: for the counts of fingerprints and for the runs themselves
+    marks = repeated(keep(runs(docs, id_col, text_col, min_words), "runs"))
     marks = (marks.select(F.col("id").alias("_ld_id"), F.col("text_key").alias("_ld_key"),
                           F.explode(F.sequence("first", "last")).alias("line"))
              .groupBy("_ld_id", "_ld_key").agg(F.collect_set("line").alias("_ld_lines")))
