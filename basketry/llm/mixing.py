@@ -10,9 +10,13 @@ demand; inverting that demand gives the copy's training position, and the
 result is range-sorted by position.
 
 Scale: sizes are summed per (source, hash bucket) before anything is shuffled
-by source; running sums go over buckets (at most ``BUCKETS`` rows a source)
-and then inside one bucket, so a source that holds most rows is spread over
-all tasks.  The weights are solved over one row per source.
+by source; running sums go over buckets (at most 16 ** ``BUCKET_DIGITS`` rows
+a source) and then inside one bucket, so a source that holds most rows is
+spread over all tasks.  With ``row_key`` buckets and order come from id and
+text, so that null or repeated ids are spread too; only rows equal in both
+share a bucket.  The weights are solved over one row per source in one task:
+sources are names of collections, thousands at most, never a key that grows
+with the documents.
 
 Cases: null and empty texts have size 0 and take no words; a null source is a
 source of its own, ranked last; equal rows are copies like any others; a
@@ -39,6 +43,12 @@ def sized(docs: DataFrame, text_col: str = "text", size_col: str = "size") -> Da
     return docs.withColumn(size_col, F.size(blank_words(text_of(text_col))).cast("long"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A key that orders the documents of a source whether or not ids are null
+    or repeated: a digest of the id and the text."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(text_of(text_col))))
+
+
 def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), tilts: Sequence[float] = (0.5, 0.0, -0.5),
             budget: float = 1.5, max_repeats: float = 2.0) -> DataFrame:
     """(source, source_size) -> weight, tilt and target, one row a source.
@@ -84,9 +94,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     ``ordered`` is off, for callers that sort the copies (``training_order``).
 
     ``key_col`` names a column that orders the documents of a source, spread
-    evenly over hex strings; by default the md5 of the id."""
-    names = [c for c in docs.columns if c not in RESULT]
-    key = F.col(key_col) if key_col else F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    evenly over hex strings, such as ``row_key``; by default the md5 of the id
+    and the size, which does for ids that are mostly set and different."""
+    names = [c for c in docs.columns if c not in RESULT and c != key_col]
+    key = F.col(key_col) if key_col else F.md5(
+        F.concat_ws(":", F.col(id_col).cast("string"), F.col(size_col).cast("string")))
     d = docs.select(*names, F.col(source_col).alias("_mx_source"), F.col(size_col).alias("_mx_size"),
                     key.alias("_mx_key"), F.col(id_col).alias("_mx_id"))
     d = d.withColumn("_mx_bucket", F.conv(F.substring("_mx_key", 1, BUCKET_DIGITS), 16, 10).cast("int"))

@@ -4,6 +4,11 @@ Every measure is an expression over the text alone, so scoring is a scan with
 no shuffle, and every rule is a row of ``RULES``: measure, lowest and highest
 value allowed.  A document is kept when no rule fails.
 
+Stop words are counted among the letter runs of the lower-cased text, for each
+language; the language with the most different ones (then the most) is the
+text's own if there are ``PLAUSIBLE`` or more, and its ratio has bounds.  A
+text that none of the languages is plausible for gets no verdict from them.
+
 Cases: a null text counts as no text and an empty text fails ``n_words``;
 repeated rows are judged one by one and alike; a text of any length is read
 whole; an empty table gives an empty table; other columns pass through, and a
@@ -23,6 +28,9 @@ SYMBOLS = r"[#*$%&|<>]"
 #: Words of a window; its hash is doubled up from one, two and four words.
 WINDOW = 8
 
+#: Different stop words that make a language plausible.
+PLAUSIBLE = 3
+
 #: Frequent function words of the languages in the corpus.
 STOP_WORDS = {
     "en": "the of and to in is that for was on are with as be at by this from or an it not have he",
@@ -36,7 +44,10 @@ RULES: tuple[tuple[str, float | None, float | None], ...] = (
     ("n_words", 20, None),
     ("mean_word_chars", 3.0, 10.0),
     ("symbol_ratio", None, 0.1),
-    ("stop_words", 1, None),
+    ("stop_ratio_en", 0.06, 0.7),
+    ("stop_ratio_de", 0.04, 0.7),
+    ("stop_ratio_fr", 0.05, 0.7),
+    ("stop_ratio_es", 0.05, 0.7),
     ("dup_line_ratio", None, 0.4),
     ("repeat_word_ratio", None, 0.3),
 )
@@ -77,19 +88,29 @@ def _repeated_words(words: Column) -> Column:
     return F.when(n > WINDOW, found).otherwise(0)
 
 
+def _own_stops(text: Column, stop_words: dict[str, str]) -> Column:
+    """The text's own language and its share of stop words; null without one."""
+    def found(words: Column, lang: str) -> Column:
+        hits = F.filter(words, lambda w: w.isin(*sorted(set(stop_words[lang].split()))))
+        return let(hits, lambda h: F.struct(F.size(F.array_distinct(h)).alias("n_different"), F.size(h).alias("n"),
+                                            F.lit(lang).alias("lang")))
+
+    return let(F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), ""), lambda words: let(
+        F.array_max(F.array(*[found(words, lang) for lang in stop_words])), lambda most: F.when(
+            most["n_different"] >= PLAUSIBLE, F.struct(most["lang"].alias("lang"), (most["n"] / F.size(words)).alias("ratio")))))
+
+
 def measures(docs: DataFrame, text_col: str = "text", out: str = "quality",
              stop_words: dict[str, str] = STOP_WORDS) -> DataFrame:
     """``docs`` with a struct ``out`` of the measures."""
     names = [c for c in docs.columns if c != out]
-    stops = F.array(*[F.lit(w) for w in sorted(set(" ".join(stop_words.values()).split()))])
     text = text_of(text_col)
     worded = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     n_symbols = F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))
     long = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     counts = let(blank_words(text), lambda words: F.struct(
         long(F.size(words)).alias("n_words"), long(F.length(F.array_join(words, ""))).alias("word_chars"),
-        long(_repeated_words(words)).alias("n_repeat_words"),
-        long(F.size(F.array_intersect(words, stops))).alias("stop_words")))
+        long(_repeated_words(words)).alias("n_repeat_words")))
     lines = let(worded, lambda x: F.struct(long(F.size(x)).alias("n"), long(F.size(F.array_distinct(x))).alias("n_distinct")))
 
     def all_of(c: Column) -> Column:
@@ -98,12 +119,14 @@ def measures(docs: DataFrame, text_col: str = "text", out: str = "quality",
         dup = x["n"] - x["n_distinct"]
         return F.struct(
             w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"), s.alias("n_symbols"),
-            dup.alias("n_dup_lines"), w["n_repeat_words"].alias("n_repeat_words"), w["stop_words"].alias("stop_words"),
+            dup.alias("n_dup_lines"), w["n_repeat_words"].alias("n_repeat_words"),
             (w["word_chars"] / words).alias("mean_word_chars"), (s / words).alias("symbol_ratio"),
             (dup / F.greatest(x["n"], F.lit(1))).alias("dup_line_ratio"),
-            (w["n_repeat_words"] / words).alias("repeat_word_ratio"))
+            (w["n_repeat_words"] / words).alias("repeat_word_ratio"),
+            *[F.when(c["own"]["lang"] == lang, c["own"]["ratio"]).alias(f"stop_ratio_{lang}") for lang in stop_words])
 
-    return docs.select(*names, let(F.struct(counts.alias("w"), lines.alias("x"), long(n_symbols).alias("s")), all_of).alias(out))
+    parts = F.struct(counts.alias("w"), lines.alias("x"), long(n_symbols).alias("s"), _own_stops(text, stop_words).alias("own"))
+    return docs.select(*names, let(parts, all_of).alias(out))
 
 
 def failed_rules(measured: Column, rules=RULES) -> Column:

@@ -47,9 +47,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
-    docs = Store(spark).write(docs, "sizes")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
+    docs = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = Store(spark).write(docs.withColumn("key", mixing.row_key()).drop("text"), "sizes")
+    return mixing.mix(docs, key_col="key").select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +120,7 @@ QUERIES = {f.__name__: f for f in (
 #: capped fixes the rate.  Copies are cut where the (whole) target ends.
 MIXING_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (
@@ -152,4 +152,81 @@ SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
 FROM p
 """
 
-ORACLE_SQL = {"op2_mixing": MIXING_SQL}
+#: A line goes if a run of lines with 50 words or more that holds it stands
+#: earlier; every such run is made of ones that end where the words suffice.
+LINES_SQL = r"""
+WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id NULLS LAST) AS rid FROM documents),
+l AS (
+  SELECT rid, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM d WHERE text IS NOT NULL),
+n AS (
+  SELECT rid, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) AS i, sum(words) OVER (PARTITION BY rid ORDER BY pos) AS upto
+  FROM n WHERE words > 0),
+enough AS (
+  SELECT a.rid, a.i, b.i AS j FROM o a JOIN o b
+    ON a.rid = b.rid AND b.i BETWEEN a.i AND a.i + 49 AND b.upto - a.upto + a.words >= 50),
+r AS (
+  SELECT rid, i, min(j) AS j FROM enough GROUP BY rid, i
+  UNION SELECT rid, max(i) AS i, j FROM enough GROUP BY rid, j),
+k AS (
+  SELECT r.rid, r.i, r.j, min(o.pos) AS a, max(o.pos) AS b, string_agg(o.x, chr(10) ORDER BY o.i) AS run
+  FROM r JOIN o ON o.rid = r.rid AND o.i BETWEEN r.i AND r.j GROUP BY r.rid, r.i, r.j),
+later AS (
+  SELECT rid, a, b FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY rid, a) AS nth FROM k) WHERE nth > 1),
+gone AS (SELECT DISTINCT l.rid, l.pos FROM l JOIN later ON l.rid = later.rid AND l.pos BETWEEN later.a AND later.b),
+kept AS (
+  SELECT l.rid, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE gone.pos IS NULL) AS text,
+         count(*) AS n_lines, count(gone.pos) AS n_deleted
+  FROM l LEFT JOIN gone ON l.rid = gone.rid AND l.pos = gone.pos GROUP BY l.rid)
+SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted
+FROM d LEFT JOIN kept ON d.rid = kept.rid
+"""
+
+
+def rules_sql() -> str:
+    """The threshold table in SQL, with the fixed word lists of the operator."""
+    words = " UNION ALL ".join(
+        f"SELECT '{lang}' AS lang, unnest(string_split('{w}', ' ')) AS word" for lang, w in quality_rules.STOP_WORDS.items())
+    fails = [f"coalesce({name} {sign} {bound}::DOUBLE, false)" for name, least, most in quality_rules.RULES
+             for sign, bound in (("<", least), (">", most)) if bound is not None]
+    ratios = ", ".join(f"CASE WHEN lang = '{lang}' THEN ratio END AS stop_ratio_{lang}" for lang in quality_rules.STOP_WORDS)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, regexp_extract_all(lower(t), '\p{{L}}+') AS letters,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+win AS (
+  SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS k
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, k) AS n FROM win) WHERE n > 1),
+inside AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY rid),
+stops AS (SELECT DISTINCT lang, word FROM ({words})),
+hits AS (
+  SELECT rid, lang, count(DISTINCT word) AS n_different, count(*) AS n
+  FROM (SELECT rid, unnest(letters) AS word FROM w) JOIN stops USING (word) GROUP BY rid, lang),
+own AS (
+  SELECT rid, lang, n FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY n_different DESC, n DESC, lang DESC) AS r
+                            FROM hits) WHERE r = 1 AND n_different >= {quality_rules.PLAUSIBLE}),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '{quality_rules.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(inside.n, 0) AS n_repeat_words,
+         len(l) AS n_lines, own.lang, own.n::DOUBLE / len(letters) AS ratio
+  FROM w LEFT JOIN inside USING (rid) LEFT JOIN own USING (rid)),
+q AS (
+  SELECT *, word_chars::DOUBLE / greatest(n_words, 1) AS mean_word_chars, n_symbols::DOUBLE / greatest(n_words, 1) AS symbol_ratio,
+         n_dup_lines::DOUBLE / greatest(n_lines, 1) AS dup_line_ratio,
+         n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeat_word_ratio, {ratios} FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT ({" OR ".join(fails)}) AS kept
+FROM q
+"""
+
+
+ORACLE_SQL = {"op2_mixing": MIXING_SQL, "op4_line_dedup": LINES_SQL, "op7_quality_rules": rules_sql()}

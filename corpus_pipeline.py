@@ -52,7 +52,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each copy that the mix takes, in order of training.  A copy
     that the end of its source's target falls into stays whole (one a source
     at most)."""
-    d = mixing.training_order(mixing.mix(mixing.sized(docs, size_col="_size"), size_col="_size", ordered=False))
+    d = mixing.sized(docs, size_col="_size").withColumn("_key", mixing.row_key())
+    d = mixing.training_order(mixing.mix(d, size_col="_size", key_col="_key", ordered=False))
     return d.select(*docs.columns)
 
 

@@ -7,7 +7,7 @@ from helpers import KIND, documents, odd
 from pyspark.sql import functions as F
 
 from basketry.llm import line_dedup, mixing, quality_rules
-from basketry.llm.queries import MIXING_SQL, op2_mixing, op7_quality_rules
+from basketry.llm.queries import ORACLE_SQL, QUERIES, op7_quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,14 +64,28 @@ def test_positions_follow_the_curriculum(spark):
     assert share["c"] == pytest.approx(0.375, abs=0.01)
 
 
-def test_mixing_sql(spark):
-    got = op2_mixing(spark, "/root/testdata/sf0.001")
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sql(spark, name, sf):
+    got = QUERIES[name](spark, f"/root/testdata/{sf}")
     con = duckdb.connect()
-    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
-    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({MIXING_SQL}) ORDER BY doc_id").fetchall()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '/root/testdata/{sf}/documents.parquet'")
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL[name]}) ORDER BY doc_id").fetchall()
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_null_ids_are_spread(spark):
+    """A third of the ids null, a third equal: no bucket holds many rows."""
+    docs = spark.range(30_000).selectExpr(
+        "case id % 3 when 0 then null when 1 then 7 else id end as doc_id", "'s' as source", "concat('word ', id) as text")
+    keyed = docs.withColumn("key", mixing.row_key())
+    most = keyed.groupBy(F.substring("key", 1, mixing.BUCKET_DIGITS)).count().agg(F.max("count")).first()[0]
+    assert most < 40
+    rows = mixing.mix(mixing.sized(keyed), key_col="key")
+    assert rows.columns == ["doc_id", "source", "text", "size", *mixing.RESULT]
+    assert rows.agg(F.sum("taken")).first()[0] == 90_000
+
+
 def rules_by_hand(text):
     w = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
@@ -97,6 +111,21 @@ def test_rules_against_plain_python(spark):
     assert quality_rules.judge(spark.createDataFrame([], KIND)).count() == 0
 
 
+@pytest.mark.parametrize("text, kept", [
+    ("THE CAT SAT ON THE MAT AND THE DOG LAY IN THE SUN FOR A WHILE BEFORE IT WENT TO THE RIVER WITH A FRIEND OF MINE", True),
+    ("'The' cat, (on) \"the\" mat; and-the dog! in. The sun: was warm, so they lay there until evening came over hills", True),
+    # a language that no list knows
+    ("kissa istui matolla ja koira makasi auringossa kunnes ilta tuli ja kaikki menivät kotiin syömään lämmintä keittoa "
+     "jonka mummo keitti heille vanhassa padassa tuvan takana", True),
+    (" ".join(f"shoes{c} cheap{c} buyer{c} store{c}" for c in "abcdefghijklmnopqrst") + " the of and", False),
+    ("of the and to in is that for was on are with as be at by this from or an it not have he of", False),
+])
+def test_stop_words(spark, text, kept):
+    row = quality_rules.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["quality"]
+    assert row["kept"] == kept, row["failed"]
+    assert kept or any(f.startswith("stop_ratio") for f in row["failed"])
+
+
 def test_rules_keep_good_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     d = op7_quality_rules(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("not base_failed")
@@ -113,7 +142,7 @@ def lines_by_hand(docs, least):
         rows = (text or "").split("\n")
         at = [i for i, x in enumerate(rows) if WORD.search(x)]
         own = [rows[i].strip(" \t\x0b\x0c\r") for i in at]
-        n = [x.count(" ") + 1 for x in own]
+        n = [len(WORD.findall(x)) for x in own]
         drop = set()
         for i in range(len(own)):
             for j in range(i, len(own)):
