@@ -41,12 +41,10 @@ EDGES = " \t\n\x0b\x0c\r"
 
 
 def _grown(words: Column, min_words: int) -> Column:
-    """How many of the first elements it takes to reach ``min_words``."""
-    done = F.aggregate(
-        words, F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n")),
-        lambda a, w: F.struct((a["sum"] + F.when(a["sum"] < min_words, w).otherwise(0)).cast("int").alias("sum"),
-                              (a["n"] + F.when(a["sum"] < min_words, 1).otherwise(0)).cast("int").alias("n")))
-    return F.when(done["sum"] >= min_words, done["n"])
+    """How many of the first elements it takes to reach ``min_words``.  A line's
+    words stand as words * 2^32 + 1, so one number sums words and lines."""
+    done = F.aggregate(words, F.lit(0).cast("long"), lambda a, w: F.when(a < min_words << 32, a + w).otherwise(a))
+    return F.when(done >= min_words << 32, done.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
 
 
 def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -59,7 +57,7 @@ def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     parts = let(lines, lambda x: F.struct(
         x["at"].alias("at"), F.transform(x["x"], lambda y: F.md5(y)).alias("md5"),
         F.transform(x["x"], lambda y: F.xxhash64(y)).alias("hash"),
-        F.transform(x["x"], lambda y: F.regexp_count(y, F.lit(WORDY + "+"))).alias("words")))
+        F.transform(x["x"], lambda y: F.shiftleft(F.regexp_count(y, F.lit(WORDY + "+")).cast("long"), 32) + 1).alias("words")))
     d = d.select("id", F.xxhash64("text").alias("text_key"),
                  F.explode(let(parts, lambda p: _runs_of(p, min_words))).alias("r"))
     return d.select("id", "text_key", "r.*")
