@@ -20,6 +20,10 @@ sample (seed + 1), up to ``max_iterations`` attempts.
   (sample, sample levels, candidates, full counts) is picked up if it is there.
 * Verdict: success iff no border set has support >= threshold.  Then L_k is
   the sample-frequent sets whose full support reaches the threshold.
+* Failure: ``completed`` makes the attempt's counts whole, level by level.  All
+  that is counted stays; a frequent set that was no candidate has only frequent
+  subsets, so apriori-gen of L_{k-1} lists what was missed, and a further pass
+  over the full data counts it.
 """
 
 from __future__ import annotations
@@ -210,6 +214,53 @@ class Toivonen:
                 break
         return out
 
+    def completed(self, a: Attempt) -> Iterator[Level]:
+        """L_1, L_2, ..., to the first empty one, whatever the verdict; a level
+        is made when it is asked for.  Level 1 is counted whole in any attempt."""
+        if self.candidate_filter is not None:
+            raise ValueError("completed counts every set; a candidate filter is not applied")
+        store, lk, k = self.store.child(f"seed{a.seed}"), None, 1
+        while True:
+            found = [] if k not in a.full_counts else [a.full_counts[k].select(*item_cols(k), SUPPORT)]
+            if k > 1:
+                found += self._missed(store, a, lk, k)
+            if not found:
+                last = F.col(f"item{k - 1}").alias(f"item{k}")
+                lk = Level(k, lk.itemsets.where("false").select(*item_cols(k - 1), last, SUPPORT), 0, None)
+            else:
+                frequent = reduce(DataFrame.unionByName, found).where(F.col(SUPPORT) >= self.threshold)
+                frequent = store.write(frequent, f"complete{k}")
+                lk = Level(k, frequent, frequent.count(), None)
+            yield lk
+            if not lk.n or self.max_k is not None and k >= self.max_k:
+                return
+            k += 1
+
+    def _missed(self, store: Store, a: Attempt, prev: Level, k: int) -> list[DataFrame]:
+        """Counts of the sets of size k whose subsets are all frequent and that
+        the attempt has not counted; no frame if there are none."""
+        if k == 2:
+            # the attempt has all pairs of sample-frequent items
+            s1 = a.sample_levels[0]
+            if anti_join(prev.itemsets, s1.itemsets, ["item1"], s1.n).isEmpty():
+                return []
+            frames, free = {1: prev.itemsets.select("item1")}, (2,)
+        else:
+            new = apriori_gen(prev.itemsets, k, prev.n)
+            if k in a.full_counts:
+                new = anti_join(new, a.full_counts[k], item_cols(k))
+            new = store.write(new, f"missed{k}")
+            if new.isEmpty():
+                return []
+            # level 1 of a tree says which items are walked: all, not the first ones only
+            items = new.select(F.explode(F.array(*item_cols(k))).alias("item1")).distinct()
+            frames = {1: items} | {j: new.select(*item_cols(j)).distinct() for j in range(2, k)} | {k: new}
+            free = ()
+        tree = Tree.build(frames, store, f"missed_tree{k}_")
+        counts = tree.by_items(store.write(count(self.b, tree, k, free), f"missed_counts{k}"), k)
+        counts = counts.select(*item_cols(k), SUPPORT)
+        return [anti_join(counts, a.full_counts[2], item_cols(2)) if k == 2 and 2 in a.full_counts else counts]
+
 
 def toivonen(baskets: Baskets, threshold: int, size: int, adjust: float = 1.0, seed: int = 0,
              max_iterations: int = 1, max_k: int | None = None) -> ToivonenResult:

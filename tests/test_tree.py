@@ -7,6 +7,7 @@ from itertools import combinations
 
 import pytest
 
+from basketry import catalog
 from basketry.functions.columns import BASKET, item_cols
 from basketry.operators.candidates import monotonicity_prune
 from basketry.operators.report import label_itemsets
@@ -110,6 +111,29 @@ def test_two_pass_takes_a_local_miner(mined):
     assert {k: v for k, v in got.items() if v} == levels_of(supports, 12, 4) and seen[0] == 1
 
 
+def test_failed_toivonen_is_completed(mined, monkeypatch):
+    b, supports = mined
+    m = Toivonen(b, 5, size=3, adjust=1.5, seed=2, max_k=4)
+    res = m.run()
+    assert res.status == "failed" and not res.levels
+    got = {lvl.k: rows(lvl.itemsets) for lvl in m.completed(res.last)}
+    assert {k: v for k, v in got.items() if v} == levels_of(supports, 5, 4)
+    m.result = res
+    monkeypatch.setattr(catalog, "_toi", lambda spark, sf: m)
+    for k in (2, 3):
+        assert rows(catalog.q_toivonen_level(k)(None, "")) == got[k]
+
+
+def test_toivonen_without_sample_items_is_completed(mined):
+    """No item is sample-frequent: all levels are missed and made."""
+    b, supports = mined
+    m = Toivonen(b, 10, size=3, adjust=500, seed=2, max_k=3)
+    res = m.run()
+    assert res.status == "failed" and not res.last.sample_levels[0].n
+    got = {lvl.k: rows(lvl.itemsets) for lvl in m.completed(res.last)}
+    assert {k: v for k, v in got.items() if v} == levels_of(supports, 10, 3)
+
+
 def test_toivonen_counts_all_levels_at_once(mined):
     b, supports = mined
     res = Toivonen(b, 10, size=50, adjust=0.5, seed=3, max_iterations=5, max_k=4).run()
