@@ -114,7 +114,16 @@ class TwoPassSON(SONMiner):
     full data down their prefix tree.  ``local`` is the grouped miner (X4):
     (miner, k, candidate occurrences) -> (chunk, item1..itemk) of the itemsets
     that are frequent in their chunk; any other must return a superset of them
-    for k = 1, 2, ... and keep every prefix."""
+    for k = 1, 2, ... and keep every prefix.
+
+    Pass 1's counts bound the support from above: a chunk that does not list an
+    itemset holds it less often than the chunk's least count.  Itemsets whose
+    bound is below the threshold are not counted again (``recounted``); the
+    bound never grows with the itemset, so every subset of the others stays.
+
+    Where the least count of every chunk is one, each itemset that occurs is
+    frequent in its chunk: occurrences then carry the items behind their last
+    one and are extended by these, with no self-join and no semi join."""
 
     name = "son_two_pass"
 
@@ -122,39 +131,77 @@ class TwoPassSON(SONMiner):
                  tag: str | None = None, local: Callable[["TwoPassSON", int, DataFrame], DataFrame] | None = None):
         label = f"{chunks}" if isinstance(chunks, int) else hashlib.sha1(str(chunks(F.col(BASKET))).encode()).hexdigest()[:8]
         super().__init__(baskets, threshold, chunks, "prefix", max_k, tag or f"son_two_pass-t{threshold}-c{label}-k{max_k}")
-        self.local = local or local_counts
+        self.own_local, self.local = local is None, local or local_counts
         # a user's miner has no identity, so its results are not reused
         self.keeps = self.shared and local is None
+        # highest least count of a chunk, and the most that all chunks together may hold unlisted
+        r = self.sizes.agg(F.max(self.least()).alias("most"), F.sum(self.least() - 1).alias("unlisted")).first()
+        self.most, self.unlisted = int(r["most"] or 0), int(r["unlisted"] or 0)
+        self.recounted: dict[int, DataFrame] = {}
 
     def _step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         return self.store.read(name) if self.keeps and self.store.complete(name) else self.store.write(make(), name)
 
+    def least(self) -> Column:
+        """Of a row with ``n_baskets``: the least support that is frequent in
+        its chunk, ceil(threshold * chunk_n / n), exact."""
+        dec = "decimal(38,0)"
+        share = F.lit(self.threshold).cast(dec) * F.col("n_baskets").cast(dec) + F.lit(max(self.n, 1) - 1)
+        return F.call_function("div", share, F.lit(max(self.n, 1)).cast(dec))
+
     def mine_chunks(self) -> dict[int, DataFrame]:
-        """Pass 1: {k: (chunk, item1..itemk)} of every chunk."""
+        """Pass 1: {k: (chunk, item1..itemk, ...)} of every chunk."""
         out: dict[int, DataFrame] = {}
-        occ, k = self.b.df.withColumnRenamed(ITEM, "item1"), 1
+        all_held = self.own_local and self.most <= 1 and not self.b.salted
+        occ, k = self._step("rests", self._rests) if all_held else self.b.df.withColumnRenamed(ITEM, "item1"), 1
         while True:
-            cand = occ if k == 1 else extend_occurrences(occ, k)
-            found = self._step(f"local{k}", lambda: self.local(self, k, cand))
+            cand = _grown(occ, k) if all_held else occ if k == 1 else extend_occurrences(occ, k)
+            found = self._step(f"mined{k}", lambda: self.local(self, k, cand))
             n = found.count()
             if not n:
                 return out
             out[k] = found
             if self._last(k):
                 return out
-            key = found.withColumnRenamed(CHUNK, "_chunk")
-            same = [F.col(c) == F.col(f"_{c}") for c in item_cols(k)]
-            key = broadcast_if_small(key.select("_chunk", *[F.col(c).alias(f"_{c}") for c in item_cols(k)]), n)
-            chunk = self.chunk_fn(F.col(BASKET)).eqNullSafe(F.col("_chunk"))
-            held = cand.join(key, [chunk, *same], "left_semi").select(*cand.columns)
-            # level 1 is a filter of the transactions; deeper occurrences are kept
-            occ = held if k == 1 else self._step(f"occ{k}", lambda: held)
+            if all_held:
+                occ = cand
+            else:
+                held = self._held(cand, found, k, n)
+                # level 1 is a filter of the transactions; deeper occurrences are kept
+                occ = held if k == 1 else self._step(f"occ{k}", lambda: held)
             k += 1
 
+    def _held(self, cand: DataFrame, found: DataFrame, k: int, n: int) -> DataFrame:
+        """The occurrences of the itemsets that are found in their chunk."""
+        key = found.withColumnRenamed(CHUNK, "_chunk")
+        same = [F.col(c) == F.col(f"_{c}") for c in item_cols(k)]
+        key = broadcast_if_small(key.select("_chunk", *[F.col(c).alias(f"_{c}") for c in item_cols(k)]), n)
+        chunk = self.chunk_fn(F.col(BASKET)).eqNullSafe(F.col("_chunk"))
+        return cand.join(key, [chunk, *same], "left_semi").select(*cand.columns)
+
+    def _rests(self) -> DataFrame:
+        """(basket, rest: its items in order)."""
+        return self.b.df.groupBy(BASKET).agg(F.sort_array(F.collect_list(ITEM)).alias("rest"))
+
+    def _union(self, k: int, found: DataFrame) -> DataFrame:
+        """The itemsets of level k that pass 2 counts."""
+        if not self.own_local:
+            return found.select(*item_cols(k)).distinct()
+        sizes = broadcast_if_small(self.sizes.select(F.col(CHUNK).alias("_chunk"), self.least().alias("_least")), self.n_chunks)
+        d = found.join(sizes, F.col(CHUNK).eqNullSafe(F.col("_chunk")))
+        d = d.groupBy(*item_cols(k)).agg(F.sum(F.col(SUPPORT) - F.col("_least") + 1).alias("_above"))
+        return d.where(F.col("_above") + self.unlisted >= self.threshold).select(*item_cols(k))
+
     def levels(self) -> Iterator[Level]:
-        union = {k: self._step(f"son_candidates{k}", lambda: d.select(*item_cols(k)).distinct())
-                 for k, d in self.mine_chunks().items()}
-        self.son_candidates = union
+        mined = self.mine_chunks()
+        self.son_candidates = {k: d.select(*item_cols(k)).distinct() for k, d in mined.items()}
+        union = {}
+        for k, d in mined.items():
+            union[k] = self._step(f"recounted{k}", lambda: self._union(k, d))
+            if union[k].isEmpty():  # nor is there any above it
+                del union[k]
+                break
+        self.recounted = union
         if union:
             tree = Tree.build(union, self.store, "union")
             counts = self._step("counts", lambda: count(self.b, tree, max(union)))
@@ -179,9 +226,17 @@ class TwoPassSON(SONMiner):
 
 
 def local_counts(miner: TwoPassSON, k: int, cand: DataFrame) -> DataFrame:
-    """The itemsets that are frequent in their chunk: one aggregate a level."""
+    """The itemsets that are frequent in their chunk, with their support there:
+    one aggregate a level."""
     per_chunk = count_support(cand.withColumn(CHUNK, miner.chunk_fn(F.col(BASKET))), k, [CHUNK])
-    return miner.flag_local(per_chunk).where("_local").select(CHUNK, *item_cols(k))
+    return miner.flag_local(per_chunk).where("_local").select(CHUNK, *item_cols(k), SUPPORT)
+
+
+def _grown(occ: DataFrame, k: int) -> DataFrame:
+    """(basket, item1..itemk, rest: the basket's items behind itemk)."""
+    d = occ.select(*[c for c in occ.columns if c != "rest"], "rest", F.posexplode("rest").alias("_at", f"item{k}"))
+    rest = F.slice("rest", F.col("_at") + 2, F.greatest(F.size("rest"), F.lit(1)))
+    return d.select(BASKET, *item_cols(k), rest.alias("rest"))
 
 
 def son(baskets: Baskets, threshold: int, chunks: int | ChunkFn = 5, prune: str = "full",

@@ -111,6 +111,24 @@ def test_two_pass_takes_a_local_miner(mined):
     assert {k: v for k, v in got.items() if v} == levels_of(supports, 12, 4) and seen[0] == 1
 
 
+def test_two_pass_recounts_what_may_be_frequent(mined):
+    """Chunks are mined whole; only itemsets whose bound reaches the threshold are counted again."""
+    b, supports = mined
+    for t, chunks, depth in ((3, 5, 4), (12, 3, 3)):
+        m = TwoPassSON(b, t, chunks=chunks, max_k=depth)
+        got = {lvl.k: rows(lvl.itemsets) for lvl in m.levels()}
+        assert {k: v for k, v in got.items() if v} == levels_of(supports, t, depth)
+        held = {s for s in supports if len(s) <= depth}
+        union = {s for k in m.son_candidates for s in rows(m.son_candidates[k])}
+        again = {s for k in m.recounted for s in rows(m.recounted[k])}
+        frequent = {s for s in held if supports[s] >= t}
+        assert frequent <= again <= union
+        if m.most <= 1:
+            assert union == held and again == frequent
+        kept = [k for k in range(2, depth + 1) if m.store.complete(f"occ{k}")]
+        assert bool(kept) == (m.most > 1 or b.salted)
+
+
 def test_failed_toivonen_is_completed(mined, monkeypatch):
     b, supports = mined
     m = Toivonen(b, 5, size=3, adjust=1.5, seed=2, max_k=4)
