@@ -18,7 +18,9 @@ is expanded and verified, whatever their number.  So a large group of near
 copies costs a few comparisons a member, and no link between classes is missed.
 
 Of a pair that meets in a short list sizes and places are looked at before
-anything else is done with it.
+anything else is done with it.  A pair is verified once, whatever rounds it
+comes up in, and whole sets are fetched only for pairs whose *marks* (the upper
+16 bits of every hash, a bound of the intersection from above) may link.
 
 Scale: which shingles are common is read from reports of every task over its
 whole input (``HOT`` rows at most are broadcast); that orders the sets and never
@@ -65,11 +67,29 @@ PIECE = 1 << 20
 MEET = (1 << 48) - 1
 #: Longest list of sets that meet whose pairs are looked at one by one before the rounds.
 SHORT = 32
+#: Bits that a mark leaves out of a hash of 64.
+MARK = 48
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes with A-Z lower-cased and the six blanks as spaces.
 LOWER = np.array([32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
+class LeanStore(Store):
+    """A store whose writes leave no shuffle files behind: what a table was
+    shuffled by goes when it is written, not when the driver next collects its
+    garbage."""
+
+    FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        before = self.spark.conf.get(self.FREE, "false")
+        self.spark.conf.set(self.FREE, "true")
+        try:
+            return super().write(df, name)
+        finally:
+            self.spark.conf.set(self.FREE, before)
+
+
 def pieces_of(text: bytes) -> list[bytes]:
     """A text in pieces of about PIECE bytes, cut at blanks."""
     out, begin = [], 0
@@ -267,6 +287,26 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return d.where(both * (100 + percent) >= (F.size("_x") + F.size("_y")) * percent).select("a", "b")
 
 
+def untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """The pairs (a < b), each once, without those of earlier rounds: these are
+    linked by now or never will be."""
+    d = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return d if tried is None else d.join(tried, ["a", "b"], "left_anti")
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of sets, those that link and few others.  Hashes that
+    two sets share have marks that they share; those of equal marks are at most
+    the hashes that each set has more than marks."""
+    d = sets.select("set", F.size("shingles").cast("long").alias("n"),
+                    F.array_distinct(F.transform("shingles", lambda s: F.shiftright(s, MARK).cast("smallint"))).alias("marks"))
+    x = d.select(F.col("set").alias("a"), F.col("n").alias("_nx"), F.col("marks").alias("_x"))
+    y = d.select(F.col("set").alias("b"), F.col("n").alias("_ny"), F.col("marks").alias("_y"))
+    d = pairs.join(y, "b").join(x, "a")
+    most = F.size(F.array_intersect("_x", "_y")) + F.least(F.col("_nx") - F.size("_x"), F.col("_ny") - F.size("_y"))
+    return d.where(most * (100 + percent) >= (F.col("_nx") + F.col("_ny")) * percent).select("a", "b")
+
+
 def may_link(x: str, y: str, percent: int) -> Column:
     """Of two groups that meet at places px and py of their prefixes: whether
     their sizes and the shingles from there on leave room for a link."""
@@ -280,7 +320,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
     """For ``docs`` (id, text without nulls): (rows (id, n, set_key), sets
     (set_key, root: least set that links reach, least: least id of the set))."""
     spark = docs.sparkSession
-    store = Store(spark)
+    store = LeanStore(spark)
     arrow_batches(spark)
     full = store.write(prefixes(docs, size, percent, common_shingles(docs, size, hot, local)), "prefixes")
     rows, full = store.write(full.select("id", "n", "set_key"), "rows"), full.where("n > 0")
@@ -303,7 +343,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
     wanted = store.write(sets.join(meeting, "group").select("set", "set_key", "group"), "wanted")
     whole = store.write(whole_sets(docs, wanted, size, bloom), "whole")
 
-    links, roots, k = None, wanted.select(F.col("set").alias("node"), F.col("set").alias("root")), 0
+    links, tried, k = None, None, 0
+    roots = wanted.select(F.col("set").alias("node"), F.col("set").alias("root"))
     while k <= rounds:
         # (group, class, one of its sets): the sets of a group that are linked already are one
         held = wanted.join(roots, F.col("set") == F.col("node")).select("set", "group", F.col("root").alias("class"))
@@ -311,14 +352,19 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hot: i
         each = held.groupBy("group", "class").agg(F.min("set").alias("set"))
         placed = store.write(lists.join(each, "group"), f"placed{k}")
         pairs = _pivot_pairs(placed, each, percent) if k < rounds else _open_pairs(placed, each, held, percent)
-        pairs = store.write(pairs, f"pairs{k}")
-        new = store.write(verified(pairs, standing_in(pairs, whole, bloom), percent), f"links{k}")
+        pairs = store.write(untried(pairs, tried), f"pairs{k}")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        for done in ("held", "placed"):
+            delete_path(spark, store.path(f"{done}{k}"))
+        near = store.write(near_pairs(pairs, standing_in(pairs, whole, bloom), percent), f"near{k}")
+        new = store.write(verified(near, standing_in(near, whole, bloom), percent), f"links{k}")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             roots = store.write(_roots(wanted, links), f"roots{k}")
             k += 1
         else:
             k = rounds if k < rounds else rounds + 1  # pivots have no more to say: the exact round is next
+    delete_path(spark, store.path("whole"))
     sets = sets.join(roots, F.col("set") == F.col("node"), "left")
     return rows, sets.select("set_key", F.coalesce("root", "set").alias("root"), "least")
 

@@ -103,3 +103,38 @@ def test_long_text_in_pieces(monkeypatch):
     monkeypatch.setattr(jj, "PIECE", 1000)
     assert [s.tolist() for s in jj.sets_of(texts, 5)] == whole
     assert [len(x) for x in whole] == [5001, 0, 1, 1, 1]
+
+
+def test_pairs_are_verified_once(spark, monkeypatch):
+    """No round verifies a pair again, in whatever order it names the two."""
+    rng, seen = random.Random(5), []
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(words + [f"x{rng.randrange(8)}" for _ in range(8)])) for i in range(40)]
+    real = jj.near_pairs
+
+    def near_pairs(pairs, sets, percent):
+        seen.extend((r["a"], r["b"]) for r in pairs.collect())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(jj, "near_pairs", near_pairs)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jj.jaccard_join(df)) == plain(rows)
+    assert seen and len({frozenset(p) for p in seen}) == len(seen)
+
+
+def test_near_pairs_keep_every_link(spark):
+    """Marks that fall together in a set never hide a link; far pairs go before whole sets are fetched."""
+    rng = random.Random(2)
+    alike = [(7 << jj.MARK) + i for i in range(40)]  # one mark
+    far = [[rng.randrange(-1 << 63, 1 << 63) for _ in range(60)] for _ in range(2)]
+    sets = [(0, alike), (1, alike[:36]), (2, alike[:30] + far[0][:10]), (3, far[0]), (4, far[0][:55] + far[1][:3]), (5, far[1])]
+    pairs = [(a, b) for a in range(6) for b in range(a + 1, 6)]
+    sets_ = spark.createDataFrame(sets, "set long, shingles array<long>")
+    pairs_ = spark.createDataFrame(pairs, "a long, b long")
+    near = set(map(tuple, jj.near_pairs(pairs_, sets_, 80).collect()))
+    link = set(map(tuple, jj.verified(pairs_, sets_, 80).collect()))
+    assert link == {(0, 1), (3, 4)} and link <= near
+    assert not near & {(0, 3), (0, 5), (3, 5), (4, 5), (2, 3)}
+    untried = jj.untried(spark.createDataFrame([(3, 1), (1, 3), (2, 1), (5, 4)], "a long, b long"),
+                         spark.createDataFrame([(1, 2)], "a long, b long"))
+    assert got(untried) == [(1, 3), (4, 5)]
