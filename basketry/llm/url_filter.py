@@ -15,7 +15,10 @@ balanced accuracy.
 Scale: URLs become grams (a character with its ``ORDER`` predecessors);
 everything is computed once per distinct gram, counted before the shuffle.
 Lower orders are sums over the table of distinct grams.  Scores join back on
-the gram; a gram that all URLs share is split by the skew join.
+the gram; a gram that all URLs share is split by the skew join.  Tables of grams
+and URLs are joined by shuffles (the merge hints): planned sizes are those of
+compressed files and leave out that a URL explodes into its characters, so a
+broadcast of 10 MB by plan would be gigabytes in the driver.
 
 Cases: a null URL or one without ``://`` has an empty host and path, fits no
 rule, and scores over the characters it has (none: 0); repeated rows are
@@ -102,12 +105,13 @@ def log_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
         total = t.groupBy(context).agg(
             *[F.sum(c).alias(f"n_{c}") for c in ("yes", "no")],
             *[F.count_if(F.col(c) > 0).alias(f"t_{c}") for c in ("yes", "no")])
-        d = t.withColumn("context", context).join(total, "context")
+        d = t.withColumn("context", context).join(total.hint("merge"), "context")
         if below is None:
             d = d.withColumns({f"q_{c}": F.lit(1.0 / ALPHABET) for c in ("yes", "no")})
         else:
             d = d.withColumn("suffix", F.substring("own", 2, k)).join(
-                below.select(F.col("own").alias("suffix"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in ("yes", "no")]), "suffix")
+                below.select(F.col("own").alias("suffix"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in ("yes", "no")]).hint("merge"),
+                "suffix")
         p = {c: F.when(F.col(f"n_{c}") > 0, (F.col(c) + F.col(f"t_{c}") * F.col(f"q_{c}"))
                        / (F.col(f"n_{c}") + F.col(f"t_{c}"))).otherwise(F.col(f"q_{c}")) for c in ("yes", "no")}
         below = store.write(d.select("own", *[x.alias(f"p_{c}") for c, x in p.items()]), f"model{k}")
@@ -146,7 +150,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     learn = lambda a: F.when((F.col("action") == a) & (F.col("fold") > 0), F.col("rows")).otherwise(0)
     occurrences = grams(urls.select("uid", "url", learn("allow").alias("yes"), learn("block").alias("no")), order)
     counts = store.write(occurrences.groupBy("gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")), "counts")
-    sums = (occurrences.select("uid", "gram").join(log_ratios(counts, order), "gram")
+    sums = (occurrences.select("uid", "gram").join(log_ratios(counts, order).hint("merge"), "gram")
             .groupBy("uid").agg(F.sum("ratio").alias("sum")))
     scored = urls.join(sums, "uid", "left").withColumn(
         "score", F.round(F.coalesce(F.col("sum") / F.length("url"), F.lit(0.0)), 9))
@@ -155,5 +159,5 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     cut = best_cut(scored.where("fold = 0 and action is not null").select("score", held("allow").alias("yes"), held("block").alias("no")))
     verdict = F.coalesce("action", F.when(F.col("score") >= cut, "allow").otherwise("block"))
     rows = pages.select(F.col(id_col).alias("id"), url.alias("url"))
-    return rows.join(scored, "url").select(F.col("id").alias(id_col), "host", "path", "rule",
+    return rows.join(scored.hint("merge"), "url").select(F.col("id").alias(id_col), "host", "path", "rule",
                                            verdict.alias("verdict"), "score")

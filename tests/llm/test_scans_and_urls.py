@@ -158,3 +158,19 @@ def test_grams_of_a_long_url(spark):
     padded = url_filter.PAD * 5 + url
     want = Counter(padded[i:i + 6] for i in range(len(url)))
     assert {r["gram"]: r["count"] for r in d.groupBy("gram").count().collect()} == want
+
+
+def test_exploded_urls_are_not_broadcast(spark):
+    """900,000 characters in files of a few MB: their grams are far larger than the plan says."""
+    import random
+
+    rng, name = random.Random(6), "spark.sql.maxBroadcastTableSize"
+    urls = [f"http://{i}.{'com' if i % 2 else 'net'}/es/" + "".join(rng.choices("abcdefgh", k=30_000)) for i in range(30)]
+    d = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    before = spark.conf.get(name)
+    spark.conf.set(name, "40m")
+    try:
+        got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(d).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert got == {i: "allow" if i % 2 else "block" for i in range(30)}
