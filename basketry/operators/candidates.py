@@ -20,6 +20,10 @@ from basketry.operators.skew import DEFAULT_HOT_ITEMS
 from basketry.sources.store import Store
 
 
+#: Items a side of a cell of pairs: at most a million pairs.
+PAIR_CELL = 1000
+
+
 def _renamed(lprev: DataFrame, cols: Sequence[str]) -> DataFrame:
     k1 = len(cols)
     return lprev.select(*[F.col(src).alias(dst) for src, dst in zip(item_cols(k1), cols)])
@@ -49,21 +53,39 @@ def monotonicity_prune(cand: DataFrame, lprev: DataFrame, k: int, n_prev: int |
             .where(F.col("_found") == len(todo)).select(*cand.columns))
 
 
+def _pairs(l1: DataFrame, n: int) -> DataFrame:
+    """C_2: every pair of L_1's ``n`` items, also those that never occur.  All
+    items share the empty prefix, so they are always cut into cells, of about
+    ``PAIR_CELL`` items a side, as a hot basket is.  The join shuffles: planned
+    sizes leave out the copies.  Partitions are numbered, as their bytes say
+    nothing of the pairs they make."""
+    cells = max(1, -(-n // PAIR_CELL))
+    own, every = F.pmod(F.xxhash64("item1"), F.lit(cells)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+    a = l1.select("item1", own.alias("_cell_a"), every.alias("_cell_b"))
+    b = l1.select(F.col("item1").alias("item2"), every.alias("_cell_a"), own.alias("_cell_b"))
+    keys = ["_cell_a", "_cell_b"]
+    parts = min(cells * cells, int(l1.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (a.repartition(parts, *keys).join(b.repartition(parts, *keys).hint("merge"), on=keys)
+            .where(F.col("item1") < F.col("item2")).select("item1", "item2"))
+
+
 def apriori_gen(lprev: DataFrame, k: int, n_prev: int | None = None,
                 hot_items: int = DEFAULT_HOT_ITEMS) -> DataFrame:
     """C_k from L_{k-1}: join on the first k-2 items with the last item
-    ordered, then keep only sets whose every (k-1)-subset is in L_{k-1}
-    (k >= 3: for k = 2 that would be every pair of frequent items, a table
-    that grows with the square of the items; the occurrences of L_1 already
-    yield just those pairs that occur).
+    ordered, then keep only sets whose every (k-1)-subset is in L_{k-1}.
+    For k = 2 that is every pair of frequent items, a table that grows with
+    the square of the items; where only pairs that occur matter, the
+    occurrences of L_1 yield just those.
 
     The prefix join is the salted self-join of ``extend_occurrences`` with
     the prefix as the group: a prefix shared by more than ``hot_items``
     itemsets is split into cells like a hot basket.  No group can be hot
     when L_{k-1} itself has at most ``hot_items`` rows, and then the check
     is skipped."""
-    if k < 3:
-        raise ValueError("k must be >= 3")
+    if k < 2:
+        raise ValueError("k must be >= 2")
+    if k == 2:
+        return _pairs(lprev, lprev.count() if n_prev is None else n_prev)
     prev = item_cols(k - 1)
     prefix = prev[:-1]
     t = lprev.select(F.lit(0).alias(BASKET), *prev)

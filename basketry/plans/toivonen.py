@@ -10,9 +10,9 @@ sample (seed + 1), up to ``max_iterations`` attempts.
 * Negative border: level 1 = every item of the full data that is not
   sample-frequent; level k = apriori-gen(S_{k-1}) minus S_k, i.e. sets not
   sample-frequent whose every (k-1)-subset is -- including sets never seen
-  in the sample.  At level 2 that is every pair of sample-frequent items: the
-  pairs that occur in the full data are listed, and the others, whose support
-  is 0, only counted: n(n-1)/2 - |S_2| in all.
+  in the sample, nor in the full data.  At level 2 that is every pair of
+  sample-frequent items that is not sample-frequent, n(n-1)/2 - |S_2| in all:
+  they are made when the border is read, no step of an attempt writes them.
 * Full count: one pass over the full data counts all levels at once, by a walk
   of the baskets down the prefix tree of S_1, S_2 and apriori-gen(S_{k-1}),
   k >= 3 (``plans.tree``).  Sets that never occur cannot be frequent.
@@ -31,7 +31,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -124,8 +124,6 @@ class Toivonen:
         full = {k: self._kinds(c, s_levels[k - 1], k) for k, c in counted.items()}
         s1 = s_levels[0]
         border[1] = anti_join(counted[1].select("item1"), s1.itemsets, ["item1"], s1.n)
-        if 2 in full:
-            border[2] = full[2].where(F.col("kind") == "border").select(*item_cols(2))
 
         # one job each: the per-level frames are unioned before counting
         n_border = reduce(DataFrame.unionByName,
@@ -137,14 +135,15 @@ class Toivonen:
                         for k, f in full.items()]).count()
         return Attempt(seed, sample_n, st, s_levels, border, full, n_border, n_bad)
 
-    def _generated(self, store: Store, s_levels: list[Level]) -> Iterator[tuple[Level, Level, DataFrame | None]]:
-        """(sample level k - 1, sample level k, apriori-gen of the former; none for pairs)."""
+    def _generated(self, store: Store, s_levels: list[Level]) -> Iterator[tuple[Level, DataFrame]]:
+        """(sample level k, apriori-gen of sample level k - 1).  Pairs are not
+        written: the full count takes every pair without their table."""
         for prev, cur in zip(s_levels, s_levels[1:]):
             if prev.n == 0:
                 return
             k = cur.k
-            yield prev, cur, None if k == 2 else self._step(
-                store, f"gen{k}", lambda: apriori_gen(prev.itemsets, k, prev.n))
+            make = partial(apriori_gen, prev.itemsets, k, prev.n)
+            yield cur, make() if k == 2 else self._step(store, f"gen{k}", make)
 
     def _count_once(self, store: Store, s_levels: list[Level]) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
         """Full counts of all levels in one pass over the full data: a walk
@@ -153,11 +152,10 @@ class Toivonen:
         candidates are the tree's level."""
         border: dict[int, DataFrame] = {}
         frames, depth = {1: s_levels[0].itemsets.select("item1")}, 1
-        for _, cur, gen in self._generated(store, s_levels):
+        for cur, gen in self._generated(store, s_levels):
             depth = cur.k
-            frames[depth] = cur.itemsets.select(*item_cols(depth)) if gen is None else gen
-            if gen is not None:
-                border[depth] = anti_join(gen, cur.itemsets, item_cols(depth), cur.n)
+            frames[depth] = cur.itemsets.select(*item_cols(depth)) if depth == 2 else gen
+            border[depth] = anti_join(gen, cur.itemsets, item_cols(depth), cur.n)
         # ids of the tree's nodes stand in the counts, so both are made together
         done = self.shared and store.complete("full_counts")
         tree = Tree.reread(store, len(frames)) if done else Tree.build(frames, store)
@@ -171,11 +169,11 @@ class Toivonen:
         occ = self.b.df.withColumnRenamed(ITEM, "item1")
         counted = {1: store.write(count_support(occ, 1), "full1")}
         occ = semi_join(occ, s1.itemsets, ["item1"], s1.n)
-        for _, cur, gen in self._generated(store, s_levels):
+        for cur, gen in self._generated(store, s_levels):
             k = cur.k
+            border[k] = anti_join(gen, cur.itemsets, item_cols(k), cur.n)
             cand = extend_occurrences(occ, k)
-            if gen is not None:
-                border[k] = anti_join(gen, cur.itemsets, item_cols(k), cur.n)
+            if k > 2:
                 cand = semi_join(cand, gen, item_cols(k), gen.count())
             cand = store.write(self.candidate_filter(cand, k), f"full_occ{k}")
             counted[k] = store.write(count_support(cand, k), f"full{k}")

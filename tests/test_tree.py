@@ -165,6 +165,27 @@ def test_toivonen_counts_all_levels_at_once(mined):
     assert {lvl.k: rows(lvl.itemsets) for lvl in filtered.levels if lvl.n} == got
 
 
+@pytest.mark.parametrize("candidate_filter", [None, lambda c, k: c])
+def test_toivonen_border_has_pairs_that_never_occur(spark, store, candidate_filter):
+    d = [(b, i) for b in range(20) for i in (1, 2, 3) if i != b % 2 + 1] + [(90, 7), (91, 9)]
+    b = Baskets.prepare(spark.createDataFrame(d, "basket long, item long"), store.child(f"never{candidate_filter is None}"))
+    a = Toivonen(b, 5, size=22, adjust=1.0, seed=1, candidate_filter=candidate_filter).run().last
+    assert {k: rows(x) for k, x in a.border.items()} == {1: [(7,), (9,)], 2: [(1, 2)], 3: []}
+    assert a.n_border == 3 and a.success
+    assert rows(a.full_counts[2]) == [(1, 3, 10, "frequent"), (2, 3, 10, "frequent")]
+
+
+def test_pairs_are_made_in_cells(spark, monkeypatch):
+    from basketry.operators import candidates
+
+    l1 = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "item1 long")
+    want = list(combinations(range(0, 60, 2), 2))
+    for cell in (7, 1000):
+        monkeypatch.setattr(candidates, "PAIR_CELL", cell)
+        assert rows(candidates.apriori_gen(l1, 2, 30)) == want == rows(candidates.apriori_gen(l1, 2))
+    assert rows(candidates.apriori_gen(l1.where("false"), 2, 0)) == []
+
+
 def test_toivonen_attempt_is_resumed(spark, tmp_path):
     path = str(tmp_path / "tx")
     spark.createDataFrame(data(8), "basket long, item long").write.parquet(path)
